@@ -107,9 +107,8 @@ def _word_pairs(spark, folder):
     formed = pairs.word_pairs(_posts(spark, folder))
     return formed.groupBy("tid", "w1").agg(
         F.count("*").alias("partners"),
-        F.min("w2").alias("first_partner"),
-        F.max("w2").alias("last_partner"),
         F.sum(F.length("w2")).alias("letters"),
+        F.sum(F.ascii("w2")).alias("initials"),
     )
 
 
@@ -136,6 +135,7 @@ def _pair_counts(spark, folder):
         F.sum("count").alias("mentions"),
         F.max("count").alias("most"),
         F.sum(F.col("count") * F.length("w2")).alias("letters"),
+        F.sum(F.col("count") * F.ascii("w2")).alias("initials"),
     )
 
 
@@ -436,8 +436,8 @@ def oracle_sql() -> dict[str, str]:
         f"WHERE word NOT IN {_list(WORD_STOPS)}",
         "word_pairs": f"""WITH {_WORDS},
             pw AS (SELECT tid, word FROM words WHERE word NOT IN {_list(PAIR_STOPS)})
-            SELECT a.tid, a.word AS w1, count(*) AS partners, min(b.word) AS first_partner,
-                   max(b.word) AS last_partner, sum(length(b.word))::BIGINT AS letters
+            SELECT a.tid, a.word AS w1, count(*) AS partners,
+                   sum(length(b.word))::BIGINT AS letters, sum(ascii(b.word))::BIGINT AS initials
             FROM pw a JOIN pw b ON a.tid = b.tid AND a.word < b.word GROUP BY a.tid, a.word""",
         "url_extract": f"WITH {_LINKED} SELECT tid, lower(unnest(urls)) AS url FROM linked",
         "word_percent": f"WITH {_word_sql()} SELECT word, round(percent, 9) AS percent "
@@ -452,7 +452,8 @@ def oracle_sql() -> dict[str, str]:
         "SELECT url, count(*) AS count FROM links GROUP BY url",
         "pair_counts": f"""WITH {_pair_sql()}
             SELECT w1, count(*) AS partners, sum(count)::BIGINT AS mentions, max(count) AS most,
-                   sum(count * length(w2))::BIGINT AS letters
+                   sum(count * length(w2))::BIGINT AS letters,
+                   sum(count * ascii(w2))::BIGINT AS initials
             FROM pairs GROUP BY w1""",
         "top_words": f"WITH {_word_sql()} SELECT word, round(percent, 9) AS percent "
         "FROM percents ORDER BY percents.percent DESC, word LIMIT 500",

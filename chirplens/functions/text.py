@@ -1,4 +1,4 @@
-"""Column expressions over post text.  All of them are built-ins with code generation."""
+"""Column expressions over post text, all of them built-ins."""
 
 from __future__ import annotations
 
@@ -9,22 +9,17 @@ from pyspark.sql import functions as F
 
 
 def tokens(text: Column) -> Column:
-    """Maximal runs of ASCII letters and apostrophes, as written; missing text has none.
-
-    Everything else becomes one blank, so the runs are what lies between the blanks.
-    """
-    blanked = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), "[^A-Za-z']+", " "))
-    return F.array_remove(F.split(blanked, " "), "")
+    """Maximal runs of ASCII letters and apostrophes, as written; missing text has none."""
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("[A-Za-z']+"), F.lit(0))
 
 
 def lower_tokens(text: Column) -> Column:
     """As ``tokens``, in lower case.
 
-    Lower-casing after the blanking keeps it to ASCII: a letter such as the Kelvin sign must
-    not turn into a "k" that was not there.
+    Tokens are cut out first and then lowered: a letter such as the Kelvin sign must not turn
+    into a "k" that was not there.
     """
-    blanked = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), "[^A-Za-z']+", " "))
-    return F.array_remove(F.split(F.lower(blanked), " "), "")
+    return F.transform(tokens(text), F.lower)
 
 
 def distinct_words(text: Column) -> Column:

@@ -42,9 +42,10 @@ def is_recent_in_seconds(created_at: Column, as_of: datetime, days: int) -> Colu
 
 
 def parse_feed_date(text: Column) -> Column:
-    """``Tue Apr 04 18:05:11 +0000 2017``.  Spark does not parse weekday names, so a valid one
-    is cut off; anything else is left on and fails to parse."""
-    rest = F.when(text.rlike(FEED_WEEKDAY), F.substring(text, 5, 100)).otherwise(text)
+    """``Tue Apr 04 18:05:11 +0000 2017``; anything else raises.  Spark does not parse weekday
+    names, so the name is checked and cut off."""
+    bad = F.raise_error(F.concat(F.lit("not a feed date: "), F.coalesce(text, F.lit("NULL"))))
+    rest = F.when(text.rlike(FEED_WEEKDAY), F.substring(text, 5, 100)).otherwise(bad)
     return F.to_timestamp_ntz(rest, F.lit(FEED_FORMAT))
 
 

@@ -19,7 +19,7 @@ from chirplens.config import PAIR_STOPS, WORD_STOPS
 from chirplens.env import checkpointed
 from chirplens.functions import scores, text
 from chirplens.operators.lookup import BROADCAST_BYTES, lookup, text_and_row_bytes
-from chirplens.operators.pairs import explode_pairs
+from chirplens.operators.pairs import dealt_out, explode_pairs
 from chirplens.operators.windows import SPAN, count_per_run, spread_counts, top_per_run
 
 # Words a first search takes per run.  A frame of at most this many words per run is what is
@@ -42,7 +42,7 @@ def top_pairs_per_run(
     ``posts`` carry ``tid``, ``text`` and their span of runs.  Runs its jobs at once and
     returns a checkpointed frame of ``k`` rows per run.
     """
-    lists = posts.select(
+    lists = dealt_out(posts.select("tid", "text", *SPAN)).select(
         "tid", *SPAN, F.sort_array(text.words_without(F.col("text"), _UNPAIRED)).alias("words")
     ).persist()
     try:
