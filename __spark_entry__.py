@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from chirplens.config import PAIR_STOPS, WORD_STOPS, ReportConfig, RunGrid
 from chirplens.operators import filters, pairs, upsert, urls, words
 from chirplens.operators.top_pairs import top_pairs_per_run
-from chirplens.operators.windows import single_span
+from chirplens.operators.windows import as_one_run
 from chirplens.plans import backfill, explore, report
 from chirplens.sources import sample
 from chirplens.sources.feed import normalize
@@ -168,7 +168,7 @@ def _top_urls(spark, folder):
 
 
 def _top_cooccur(spark, folder):
-    top = top_pairs_per_run(single_span(_posts(spark, folder)))
+    top = top_pairs_per_run(as_one_run(_posts(spark, folder)))
     return _rounded(top.select("w1", "w2", "count", "log_weight"), "log_weight")
 
 

@@ -20,7 +20,7 @@ from chirplens.env import checkpointed
 from chirplens.functions import scores, text
 from chirplens.operators.lookup import BROADCAST_BYTES, lookup, text_and_row_bytes
 from chirplens.operators.pairs import dealt_out, explode_pairs
-from chirplens.operators.windows import SPAN, count_per_run, spread_counts, top_per_run
+from chirplens.operators.windows import count_per_run, per_run, span_of, top_per_run
 
 # Words a first search takes per run.  A frame of at most this many words per run is what is
 # broadcast; it does not grow with the posts.
@@ -42,9 +42,12 @@ def top_pairs_per_run(
     ``posts`` carry ``tid``, ``text`` and their span of runs.  Runs its jobs at once and
     returns a checkpointed frame of ``k`` rows per run.
     """
-    lists = dealt_out(posts.select("tid", "text", *SPAN)).select(
-        "tid", *SPAN, F.sort_array(text.words_without(F.col("text"), _UNPAIRED)).alias("words")
-    ).persist()
+    span = span_of(posts)
+    lists = (
+        dealt_out(posts.select("tid", "text", *span))
+        .select("tid", *span, text.words_without(F.col("text"), _UNPAIRED).alias("words"))
+        .persist()
+    )
     try:
         return _search(lists, k, probe_words, broadcast_bytes)
     finally:
@@ -79,8 +82,9 @@ def _search(lists: DataFrame, k: int, probe_words: int, broadcast_bytes: int) ->
 
 def _bounded_words(lists: DataFrame) -> DataFrame:
     """``(run, word, count, total, bound)`` for every word of every run."""
-    words = lists.select(*SPAN, F.explode("words").alias("word"))
-    totals = count_per_run(lists.select(*SPAN), []).withColumnRenamed("count", "total")
+    span = span_of(lists)
+    words = lists.select(*span, F.explode("words").alias("word"))
+    totals = count_per_run(lists.select(*span), []).withColumnRenamed("count", "total")
     # One row per run.
     return (
         count_per_run(words, ["word"])
@@ -92,40 +96,26 @@ def _bounded_words(lists: DataFrame) -> DataFrame:
 def _probe_counts(lists: DataFrame, taken: DataFrame) -> DataFrame:
     """Pairs among the taken words.
 
-    The few taken words of a span are matched against a post's list in place, so no post is
+    The few taken words of a run are matched against a post's list in place, so no post is
     shuffled, and what is shuffled are pairs of taken words, combined first.
     """
-    spans = lists.select(*SPAN).distinct()
-    chosen = (
-        spans.select(*SPAN, F.explode(F.sequence("first", "last")).alias("run"))
-        .join(F.broadcast(taken.select("run", "word")), "run")
-        .groupBy(*SPAN)
-        .agg(F.collect_set("word").alias("chosen"))
-    )
-    kept = lists.join(F.broadcast(chosen), SPAN).select(
-        *SPAN, F.array_intersect("words", "chosen").alias("words")
-    )
-    return _span_pairs(kept)
+    chosen = taken.groupBy("run").agg(F.collect_set("word").alias("chosen"))
+    kept = per_run(lists).join(F.broadcast(chosen), "run")
+    return _pairs_per_run(kept.select("run", F.array_intersect("words", "chosen").alias("words")))
 
 
 def _wanted_counts(lists: DataFrame, wanted: DataFrame, fits: bool) -> DataFrame:
     """Pairs among any number of wanted words: word rows are looked up and put back into lists
     per post."""
-    rows = lists.select(
-        "tid",
-        *SPAN,
-        F.explode(F.sequence("first", "last")).alias("run"),
-        "words",
-    ).select("tid", *SPAN, "run", F.explode("words").alias("word"))
+    rows = per_run(lists).select("tid", "run", F.explode("words").alias("word"))
     kept = lookup(rows, wanted.select("run", "word", "count"), ["run", "word"], "count", fits)
-    back = kept.groupBy("tid", *SPAN).agg(F.sort_array(F.collect_set("word")).alias("words"))
-    return _span_pairs(back)
+    back = kept.groupBy("tid", "run").agg(F.collect_set("word").alias("words"))
+    return _pairs_per_run(back)
 
 
-def _span_pairs(kept: DataFrame) -> DataFrame:
-    pairs = explode_pairs(kept.where(F.size("words") > 1), *SPAN)
-    counts = pairs.groupBy(*SPAN, "w1", "w2").agg(F.count("*").alias("count"))
-    return spread_counts(counts, ["w1", "w2"])
+def _pairs_per_run(kept: DataFrame) -> DataFrame:
+    lists = kept.where(F.size("words") > 1).withColumn("words", F.sort_array("words"))
+    return explode_pairs(lists, "run").groupBy("run", "w1", "w2").agg(F.count("*").alias("count"))
 
 
 def _rank(counts: DataFrame, words: DataFrame, k: int, fits: bool = True) -> DataFrame:

@@ -10,6 +10,7 @@ from chirplens.functions import times
 
 # A post lies in the windows of the runs ``first .. last``.  All posts with the same two
 # numbers share their fate, so counting is done on them before rows are spread over the runs.
+# A report that stands alone has one column instead, ``run``.
 SPAN = ["first", "last"]
 
 
@@ -30,10 +31,21 @@ def with_span(posts: DataFrame, grid: RunGrid) -> DataFrame:
     )
 
 
-def single_span(posts: DataFrame) -> DataFrame:
-    """All posts in one window, run 0."""
-    zero = F.lit(0).cast("long")
-    return posts.withColumn("first", zero).withColumn("last", zero)
+def as_one_run(posts: DataFrame) -> DataFrame:
+    """All posts in the window of run 0."""
+    return posts.withColumn("run", F.lit(0).cast("long"))
+
+
+def span_of(frame: DataFrame) -> list[str]:
+    return ["run"] if "run" in frame.columns else SPAN
+
+
+def per_run(frame: DataFrame) -> DataFrame:
+    """One row per run that sees the row, with column ``run`` instead of the span."""
+    if "run" in frame.columns:
+        return frame
+    others = [c for c in frame.columns if c not in SPAN]
+    return frame.select(F.explode(F.sequence("first", "last")).alias("run"), *others)
 
 
 def count_per_run(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -42,14 +54,10 @@ def count_per_run(rows: DataFrame, keys: list[str]) -> DataFrame:
     Rows are first counted per span, then the counts are spread over the runs: a post in 20
     windows is counted once, not 20 times.
     """
-    return spread_counts(rows.groupBy(*SPAN, *keys).agg(F.count("*").alias("count")), keys)
-
-
-def spread_counts(span_counts: DataFrame, keys: list[str]) -> DataFrame:
-    runs = span_counts.select(
-        F.explode(F.sequence("first", "last")).alias("run"), *keys, "count"
-    )
-    return runs.groupBy("run", *keys).agg(F.sum("count").alias("count"))
+    counts = rows.groupBy(*span_of(rows), *keys).agg(F.count("*").alias("count"))
+    if "run" in rows.columns:
+        return counts
+    return per_run(counts).groupBy("run", *keys).agg(F.sum("count").alias("count"))
 
 
 def top_per_run(frame: DataFrame, k: int, *order: Column | str, rank: str = "rank") -> DataFrame:

@@ -10,7 +10,7 @@ from chirplens.functions.times import ntz
 from chirplens.operators import urls, words
 from chirplens.operators.filters import filter_as_of, global_count
 from chirplens.operators.top_pairs import top_pairs_per_run
-from chirplens.operators.windows import single_span
+from chirplens.operators.windows import as_one_run
 from chirplens.sources.tables import append_result
 
 
@@ -29,7 +29,7 @@ def urls_report(posts: DataFrame, cfg: ReportConfig) -> DataFrame:
 def word_cooccur_report(posts: DataFrame, cfg: ReportConfig) -> DataFrame:
     """Runs the pair search at once; what is returned is its small result."""
     recent = filter_as_of(posts, cfg.as_of, cfg.days)
-    top = top_pairs_per_run(single_span(recent), cfg.top_pairs)
+    top = top_pairs_per_run(as_one_run(recent), cfg.top_pairs)
     return top.orderBy("rank").select(
         "w1", "w2", "count", "log_weight", ntz(cfg.as_of).alias("ts")
     )

@@ -10,7 +10,7 @@ from chirplens.config import RunGrid
 from chirplens.operators import filters, pairs, words
 from chirplens.operators.lookup import lookup
 from chirplens.operators.top_pairs import top_pairs_per_run
-from chirplens.operators.windows import single_span, with_span
+from chirplens.operators.windows import as_one_run, with_span
 from tests import brute
 
 NOON = datetime(2024, 5, 1, 12)
@@ -56,7 +56,7 @@ def found(frame):
 def test_single_run(make_posts, seed, vocabulary, skew, k, probe, limit):
     texts = corpus(seed, vocabulary=vocabulary, skew=skew)
     posts = make_posts([(i, t, NOON, None) for i, t in enumerate(texts)])
-    got = top_pairs_per_run(single_span(posts), k, probe, limit)
+    got = top_pairs_per_run(as_one_run(posts), k, probe, limit)
     assert found(got) == brute.top_pairs(texts, k)
 
 
@@ -65,7 +65,7 @@ def test_first_phase_can_suffice_and_be_partial(make_posts):
     texts = corpus(7, posts=200, vocabulary=400, skew=1.2)
     posts = make_posts([(i, t, NOON, None) for i, t in enumerate(texts)])
     for probe in (5, 20, 40, 80):
-        assert found(top_pairs_per_run(single_span(posts), 10, probe)) == brute.top_pairs(texts, 10)
+        assert found(top_pairs_per_run(as_one_run(posts), 10, probe)) == brute.top_pairs(texts, 10)
 
 
 @pytest.mark.parametrize("probe,limit", [(400, 1 << 20), (6, 1 << 20), (6, 0)])
