@@ -40,7 +40,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _posts(spark: SparkSession, folder: str) -> DataFrame:
-    return sample.posts(spark, folder, links=False)
+    return sample.texts(spark, folder)
+
+
+def _plain_posts(spark: SparkSession, folder: str) -> DataFrame:
+    return sample.texts(spark, folder, spread=False)
 
 
 def _recent(spark: SparkSession, folder: str) -> DataFrame:
@@ -48,7 +52,8 @@ def _recent(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _rounded(frame: DataFrame, column: str) -> DataFrame:
-    return frame.withColumn(column, F.round(column, 9))
+    """Logarithms differ in the last digits between engines; shares do not."""
+    return frame.withColumn(column, F.round(column, 6 if column == "log_weight" else 9))
 
 
 def _flat_urls(frame: DataFrame) -> DataFrame:
@@ -60,19 +65,19 @@ def _scan_tweets(spark, folder):
 
 
 def _filter_recent(spark, folder):
-    return filters.filter_recent(_posts(spark, folder), AS_OF)
+    return filters.filter_recent(_plain_posts(spark, folder), AS_OF)
 
 
 def _filter_as_of(spark, folder):
-    return _recent(spark, folder)
+    return filters.filter_as_of(_plain_posts(spark, folder), AS_OF)
 
 
 def _high_water_mark(spark, folder):
-    return upsert.high_water_mark(_posts(spark, folder))
+    return upsert.high_water_mark(_plain_posts(spark, folder))
 
 
 def _incremental_take(spark, folder):
-    last_id = upsert.high_water_mark(_posts(spark, folder)).first()["last_id"]
+    last_id = upsert.high_water_mark(_plain_posts(spark, folder)).first()["last_id"]
     taken = upsert.incremental_take(sample.feed(spark, folder), last_id)
     return taken.select("id", F.col("user.screen_name").alias("user"), "text", "created_at")
 
@@ -88,7 +93,7 @@ def _upsert_tweets(spark, folder):
 
 
 def _latest_tweets(spark, folder):
-    return filters.latest_first(_posts(spark, folder)).select("tid", "user", "created_at")
+    return filters.latest_first(_plain_posts(spark, folder)).select("tid", "user", "created_at")
 
 
 def _tokenize(spark, folder):
@@ -104,7 +109,7 @@ def _word_extract(spark, folder):
 
 
 def _word_pairs(spark, folder):
-    formed = pairs.word_pairs(_posts(spark, folder))
+    formed = pairs.word_pairs(_plain_posts(spark, folder))
     return formed.groupBy("tid", "w1").agg(
         F.count("*").alias("partners"),
         F.sum(F.length("w2")).alias("letters"),
@@ -117,7 +122,7 @@ def _url_extract(spark, folder):
 
 
 def _global_count(spark, folder):
-    return filters.global_count(_recent(spark, folder))
+    return filters.global_count(filters.filter_as_of(_plain_posts(spark, folder), AS_OF))
 
 
 def _word_doc_freq(spark, folder):
@@ -151,9 +156,9 @@ def _cooccur_score(spark, folder):
     scored = pairs.score_pairs(pairs.pair_counts(recent), percents)
     return scored.groupBy("w1").agg(
         F.count("*").alias("partners"),
-        F.round(F.max("log_weight"), 9).alias("best"),
-        F.round(F.min("log_weight"), 9).alias("least"),
-        F.round(F.sum("log_weight"), 6).alias("total"),
+        F.round(F.max("log_weight"), 6).alias("best"),
+        F.round(F.min("log_weight"), 6).alias("least"),
+        F.round(F.sum("log_weight"), 3).alias("total"),
     )
 
 
@@ -168,7 +173,7 @@ def _top_urls(spark, folder):
 
 
 def _top_cooccur(spark, folder):
-    top = top_pairs_per_run(as_one_run(_posts(spark, folder)))
+    top = top_pairs_per_run(as_one_run(_plain_posts(spark, folder)))
     return _rounded(top.select("w1", "w2", "count", "log_weight"), "log_weight")
 
 
@@ -181,11 +186,11 @@ def _urls_report(spark, folder):
 
 
 def _word_cooccur_report(spark, folder):
-    return _rounded(report.word_cooccur_report(_posts(spark, folder), REPORT), "log_weight")
+    return _rounded(report.word_cooccur_report(_plain_posts(spark, folder), REPORT), "log_weight")
 
 
 def _cooccur_runs(spark, folder):
-    return backfill.word_cooccur_backfill(_posts(spark, folder), DAILY)
+    return backfill.word_cooccur_backfill(_plain_posts(spark, folder), DAILY)
 
 
 def _recent_interesting_pairs(spark, folder):
@@ -410,7 +415,7 @@ cooccur AS (
 def oracle_sql() -> dict[str, str]:
     posted = "strftime(posted, '%a %b %d %H:%M:%S +0000 %Y')"
     flat = "array_to_string(urls, ' ') AS urls"
-    scores = "w1, w2, count, round(log_weight, 9) AS log_weight"
+    scores = "w1, w2, count, round(log_weight, 6) AS log_weight"
     ranked = "ORDER BY round(log_weight, 9) DESC, w1, w2"
     return {
         "scan_tweets": f'WITH {_LINKED} SELECT tid, "user", text, created_at, {flat} FROM linked',
@@ -443,8 +448,8 @@ def oracle_sql() -> dict[str, str]:
         "word_percent": f"WITH {_word_sql()} SELECT word, round(percent, 9) AS percent "
         "FROM percents",
         "cooccur_score": f"""WITH {_pair_sql(_RECENT)}
-            SELECT w1, count(*) AS partners, round(max(log_weight), 9) AS best,
-                   round(min(log_weight), 9) AS least, round(sum(log_weight), 6) AS total
+            SELECT w1, count(*) AS partners, round(max(log_weight), 6) AS best,
+                   round(min(log_weight), 6) AS least, round(sum(log_weight), 3) AS total
             FROM scored GROUP BY w1""",
         "global_count": f"WITH {_TWEETS} SELECT count(*) AS n FROM tweets WHERE {_RECENT}",
         "word_doc_freq": f"WITH {_word_sql()} SELECT word, count FROM freq",
@@ -477,7 +482,7 @@ def oracle_sql() -> dict[str, str]:
                        PARTITION BY w1, w2 ORDER BY log_weight DESC, count DESC) = 1)
             SELECT {scores} FROM best {ranked.replace("log_weight", "best.log_weight")} LIMIT 50""",
         "emerging_pairs": f"""WITH {_PAIR_RUNS}
-            SELECT w1, w2, round(max(log_weight), 9) AS log_weight FROM cooccur
+            SELECT w1, w2, round(max(log_weight), 6) AS log_weight FROM cooccur
             WHERE ts > {_TS} - INTERVAL 1 DAY
               AND (w1, w2) NOT IN (
                 SELECT (w1, w2) FROM cooccur WHERE ts <= {_TS} - INTERVAL 1 DAY)

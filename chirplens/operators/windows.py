@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chirplens.config import RunGrid
+from chirplens.env import checkpointed
 from chirplens.functions import times
 
 # A post lies in the windows of the runs ``first .. last``.  All posts with the same two
@@ -68,3 +69,52 @@ def top_per_run(frame: DataFrame, k: int, *order: Column | str, rank: str = "ran
     """
     window = Window.partitionBy("run").orderBy(*order)
     return frame.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
+
+
+def most_frequent_per_run(
+    rows: DataFrame, key: str, k: int, probe_keys: int | None = None
+) -> DataFrame:
+    """``(run, key, count, rank)``: the ``k`` most frequent keys of each run, ties in key order.
+
+    Exact, without counting every key in every run.  A key is no more frequent in a run than
+    over all rows, so the keys most frequent over all rows, a fixed number, are counted per run
+    first.  If the k-th count found in every run is above the overall count of the keys left
+    out, that is the answer; otherwise the keys that reach a run's k-th count are counted too.
+
+    Runs its jobs at once and returns a checkpointed frame of ``k`` rows per run.
+    """
+    probe_keys = probe_keys or 16 * k
+    span = span_of(rows)
+    counts = rows.groupBy(*span, key).agg(F.count("*").alias("count")).persist()
+    try:
+        totals = counts.groupBy(key).agg(F.sum("count").alias("overall"))
+        order = [F.desc("overall"), key]
+        # One key more than is taken: its count covers all keys left out.
+        probe = checkpointed(totals.orderBy(*order).limit(probe_keys + 1))
+        taken = probe.orderBy(*order).limit(probe_keys).select(key)
+        found = checkpointed(_rank_counts(per_run(counts.join(F.broadcast(taken), key)), key, k))
+        keys = probe.agg(F.count("*").alias("n"), F.min("overall").alias("left_out")).first()
+        if keys["n"] <= probe_keys:
+            return found
+        kth = found.where(F.col("rank") == k).select("run", F.col("count").alias("floor"))
+        floors = (
+            per_run(counts.select(*span).distinct())
+            .select("run")
+            .distinct()
+            .join(F.broadcast(kth), "run", "left")
+            .na.fill(0, ["floor"])
+        )
+        lowest = floors.agg(F.min("floor")).first()[0]
+        if keys["left_out"] < lowest:
+            return found
+        # A key has at most one row per span, so no key of this join is hot.
+        wanted = counts.join(totals.where(F.col("overall") >= lowest).hint("merge"), key)
+        reach = per_run(wanted).join(F.broadcast(floors), "run").where("overall >= floor")
+        return checkpointed(_rank_counts(reach, key, k))
+    finally:
+        counts.unpersist()
+
+
+def _rank_counts(counts: DataFrame, key: str, k: int) -> DataFrame:
+    merged = counts.groupBy("run", key).agg(F.sum("count").alias("count"))
+    return top_per_run(merged, k, F.desc("count"), key)

@@ -1,4 +1,7 @@
-"""The report at many times as one job: a window slides over the posts, one run per time."""
+"""The report at many times at once: a window slides over the posts, one run per time.
+
+The rankings run their jobs at once and return small checkpointed frames.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +11,12 @@ from pyspark.sql import functions as F
 from chirplens.config import WORD_STOPS, RunGrid
 from chirplens.functions import scores, text, times
 from chirplens.operators.top_pairs import top_pairs_per_run
-from chirplens.operators.windows import SPAN, count_per_run, top_per_run, with_span
+from chirplens.operators.windows import (
+    SPAN,
+    count_per_run,
+    most_frequent_per_run,
+    with_span,
+)
 
 
 def _stamp(frame: DataFrame, grid: RunGrid, *columns: str) -> DataFrame:
@@ -21,7 +29,7 @@ def word_counts_backfill(posts: DataFrame, grid: RunGrid, k: int = 500) -> DataF
     rows = seen.select(
         *SPAN, F.explode(text.words_without(F.col("text"), WORD_STOPS)).alias("word")
     )
-    top = top_per_run(count_per_run(rows, ["word"]), k, F.desc("count"), "word")
+    top = most_frequent_per_run(rows, "word", k)
     # ``totals`` has one row per run of the grid.
     shares = top.join(F.broadcast(totals), "run").withColumn(
         "percent", scores.fraction(F.col("count"), F.col("total"))
@@ -32,11 +40,9 @@ def word_counts_backfill(posts: DataFrame, grid: RunGrid, k: int = 500) -> DataF
 def urls_backfill(posts: DataFrame, grid: RunGrid, k: int = 300) -> DataFrame:
     rows = with_span(posts, grid).select(*SPAN, F.explode("urls").alias("url"))
     rows = rows.select(*SPAN, F.lower(F.coalesce("url", F.lit(""))).alias("url"))
-    top = top_per_run(count_per_run(rows, ["url"]), k, F.desc("count"), "url")
-    return _stamp(top, grid, "url", "count")
+    return _stamp(most_frequent_per_run(rows, "url", k), grid, "url", "count")
 
 
 def word_cooccur_backfill(posts: DataFrame, grid: RunGrid, k: int = 300) -> DataFrame:
-    """Runs the pair search at once, for all runs together."""
     top = top_pairs_per_run(with_span(posts, grid), k)
     return _stamp(top, grid, "w1", "w2", "count", "log_weight")

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chirplens.functions.times import format_feed_date
+from chirplens.sources.tables import spread_if_small
 
 NEW_ID = 10**15  # ids of conversation turns lie above all document ids
 
@@ -23,8 +24,23 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def posts(spark: SparkSession, folder: str, links: bool = True) -> DataFrame:
-    """Posts; without ``links`` the pages are not read and ``urls`` is missing."""
+def posts(spark: SparkSession, folder: str) -> DataFrame:
+    plain = _dated(spark, folder)
+    pages = _table(spark, folder, "pages")
+    turn = F.pmod("tid", F.lit(pages.count()).cast("long")).alias("page_id")
+    hrefs = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
+    found = pages.select("page_id", F.concat(F.array("url"), hrefs).alias("urls"))
+    return plain.select("*", turn).join(found, "page_id", "left").drop("page_id")
+
+
+def texts(spark: SparkSession, folder: str, spread: bool = True) -> DataFrame:
+    """Posts without their links; the pages are not read.  ``spread`` deals the texts out over
+    the cores if the table is small; for work that does so itself it is left off."""
+    plain = _dated(spark, folder)
+    return spread_if_small(plain, _table(spark, folder, "documents")) if spread else plain
+
+
+def _dated(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents")
     events = _table(spark, folder, "events")
     run = F.lit(events.count() // documents.count()).cast("long")
@@ -32,20 +48,9 @@ def posts(spark: SparkSession, folder: str, links: bool = True) -> DataFrame:
         events.groupBy(F.call_function("div", F.col("event_id"), run).alias("doc_id"))
         .agg(F.max("ts").alias("created_at"))
     )
-    joined = documents.join(times, "doc_id", "left")
-    columns = [
-        F.col("doc_id").alias("tid"),
-        F.col("source").alias("user"),
-        "text",
-        "created_at",
-    ]
-    if not links:
-        return joined.select(*columns)
-    pages = _table(spark, folder, "pages")
-    turn = F.pmod("doc_id", F.lit(pages.count()).cast("long")).alias("page_id")
-    hrefs = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
-    found = pages.select("page_id", F.concat(F.array("url"), hrefs).alias("urls"))
-    return joined.select(*columns, turn).join(found, "page_id", "left").drop("page_id")
+    return documents.join(times, "doc_id", "left").select(
+        F.col("doc_id").alias("tid"), F.col("source").alias("user"), "text", "created_at"
+    )
 
 
 def feed(spark: SparkSession, folder: str) -> DataFrame:

@@ -10,11 +10,29 @@ from chirplens.operators.filters import filter_recent
 from chirplens.schemas import RESULT_TABLES, TWEET
 
 
+# Below this size a table often comes as one file with one row group, that is, as one task.
+SMALL_TABLE_BYTES = 1 << 30
+
+
+def spread_if_small(frame: DataFrame, table: DataFrame) -> DataFrame:
+    """``frame``, which is read from ``table``, dealt out over the cores if the table is small.
+
+    The shuffle is bounded by ``SMALL_TABLE_BYTES``; a larger table fills the cores with its own
+    scan splits and is not shuffled.  Filters and column choices made later still move below
+    this and into the scan.
+    """
+    size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if size > SMALL_TABLE_BYTES:
+        return frame
+    return frame.repartition(frame.sparkSession.sparkContext.defaultParallelism)
+
+
 def read_posts(
     spark: SparkSession, path: str, as_of: datetime | None = None, days: int = 4
 ) -> DataFrame:
     """The stored posts; with ``as_of`` only those of the last ``days``, filtered in the scan."""
-    posts = spark.read.schema(TWEET).parquet(path)
+    stored = spark.read.schema(TWEET).parquet(path)
+    posts = spread_if_small(stored, stored)
     return posts if as_of is None else filter_recent(posts, as_of, days)
 
 

@@ -2,8 +2,11 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
-from chirplens.config import ReportConfig, RunGrid
+from chirplens.config import WORD_STOPS, ReportConfig, RunGrid
+from chirplens.functions import text
+from chirplens.operators.windows import most_frequent_per_run, with_span
 from chirplens.plans import backfill, explore, report
 from tests import brute
 from tests.test_top_pairs import corpus
@@ -51,6 +54,19 @@ def test_backfill_is_the_report_at_every_run(make_posts, rows):
         assert sorted(got, key=lambda r: (-r[3], r[:2])) == brute.top_pairs(texts, 10)
 
 
+@pytest.mark.parametrize("probe,k", [(1, 3), (4, 3), (15, 3), (15, 30), (400, 300)])
+def test_frequent_words_for_any_probe(make_posts, rows, probe, k):
+    """Few probed keys force the second phase, many leave it out."""
+    words = with_span(make_posts(rows), GRID).select(
+        "first", "last", F.explode(text.words_without(F.col("text"), WORD_STOPS)).alias("word")
+    )
+    got = most_frequent_per_run(words, "word", k, probe).orderBy("run", "rank").collect()
+    for run in range(GRID.runs):
+        texts = [r[1] for r in seen(rows, GRID.start + GRID.step * run)]
+        want = [(w, round(p * len(texts))) for w, p in brute.top_words(texts, k)]
+        assert [(r.word, r["count"]) for r in got if r.run == run] == want
+
+
 def test_last_run_equals_the_report(make_posts, rows):
     posts = make_posts(rows)
     cfg = ReportConfig(as_of=END)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from chirplens.config import ReportConfig, RunGrid
 from chirplens.operators import filters, pairs
-from chirplens.plans import backfill, report
+from chirplens.operators.windows import count_per_run, top_per_run, with_span
+from chirplens.plans import report
 from chirplens.sources.tables import read_posts
 
 AS_OF = datetime(2024, 5, 1, 12, 0, 0, 250000)
@@ -56,13 +57,11 @@ def test_ranking_is_a_bounded_top_k(stored):
     for frame in (report.word_counts_report(stored, CFG), report.urls_report(stored, CFG)):
         assert "TakeOrderedAndProject" in plan(frame)
     grid = RunGrid(end=AS_OF, step=timedelta(hours=5), runs=5)
-    for frame in (
-        backfill.word_counts_backfill(stored, grid),
-        backfill.urls_backfill(stored, grid),
-    ):
-        # One limit before the shuffle, one after.
-        assert plan(frame).count("WindowGroupLimit") >= 2
-        assert re.search(r"PushedFilters: .*GreaterThanOrEqual\(created_at", plan(frame))
+    rows = with_span(stored, grid).select("first", "last", F.explode("urls").alias("url"))
+    text = plan(top_per_run(count_per_run(rows, ["url"]), 10, F.desc("count"), "url"))
+    # One limit before the shuffle, one after.
+    assert text.count("WindowGroupLimit") >= 2
+    assert re.search(r"PushedFilters: .*GreaterThanOrEqual\(created_at", text)
 
 
 def test_no_products_and_no_python(stored):
@@ -70,7 +69,7 @@ def test_no_products_and_no_python(stored):
     for frame in (
         report.word_counts_report(stored, CFG),
         report.urls_report(stored, CFG),
-        backfill.word_counts_backfill(stored, grid),
+        count_per_run(with_span(stored, grid), ["text"]),
         pairs.word_pairs(stored),
         pairs.pair_counts(stored),
     ):
