@@ -26,10 +26,6 @@ from chirplens.operators.windows import count_per_run, per_run, span_of, top_per
 # broadcast; it does not grow with the posts.
 PROBE_WORDS = 400
 
-# Words that never form a scored pair: pair stop words, and words left out of the word counts,
-# which therefore have no percent.
-_UNPAIRED = tuple(dict.fromkeys(PAIR_STOPS + WORD_STOPS))
-
 
 def top_pairs_per_run(
     posts: DataFrame,
@@ -45,15 +41,31 @@ def top_pairs_per_run(
     span = span_of(posts)
     lists = (
         dealt_out(posts.select("tid", "text", *span))
-        .select("tid", *span, text.words_without(F.col("text"), _UNPAIRED).alias("words"))
+        .select("tid", *span, text.words_without(F.col("text"), WORD_STOPS).alias("words"))
         .persist()
     )
     try:
-        return _search(lists, k, probe_words, broadcast_bytes)
+        return top_pairs_of_lists(lists, k, probe_words, broadcast_bytes)
     finally:
         lists.unpersist()
 
 
+def top_pairs_of_lists(
+    lists: DataFrame,
+    k: int = 300,
+    probe_words: int = PROBE_WORDS,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """As ``top_pairs_per_run``, of the distinct counted ``words`` of each post.  ``lists`` is
+    read several times and should be persisted.
+
+    Words left out of the word counts have no share and thus no scored pair, so counted words
+    that are no pair stop words are all that is needed.
+    """
+    paired = F.array_except("words", text.string_array(PAIR_STOPS))
+    return _search(lists.withColumn("words", paired), k, probe_words, broadcast_bytes)
+
+
 def _search(lists: DataFrame, k: int, probe_words: int, broadcast_bytes: int) -> DataFrame:
     best_first = [F.desc("bound"), "word"]
     # One word more than is taken: its bound covers all words left out.

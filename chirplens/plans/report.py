@@ -5,19 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chirplens.config import ReportConfig
+from chirplens.config import WORD_STOPS, ReportConfig
+from chirplens.functions import text
 from chirplens.functions.times import ntz
 from chirplens.operators import urls, words
 from chirplens.operators.filters import filter_as_of, global_count
-from chirplens.operators.top_pairs import top_pairs_per_run
+from chirplens.operators.pairs import dealt_out
+from chirplens.operators.top_pairs import top_pairs_of_lists, top_pairs_per_run
 from chirplens.operators.windows import as_one_run
 from chirplens.sources.tables import append_result
 
 
 def word_counts_report(posts: DataFrame, cfg: ReportConfig) -> DataFrame:
     recent = filter_as_of(posts, cfg.as_of, cfg.days)
-    top = words.top_words(words.word_doc_freq(recent), global_count(recent), cfg.top_words)
-    return top.select("word", "percent", ntz(cfg.as_of).alias("ts"))
+    return _word_table(words.word_doc_freq(recent), global_count(recent), cfg)
 
 
 def urls_report(posts: DataFrame, cfg: ReportConfig) -> DataFrame:
@@ -29,10 +30,7 @@ def urls_report(posts: DataFrame, cfg: ReportConfig) -> DataFrame:
 def word_cooccur_report(posts: DataFrame, cfg: ReportConfig) -> DataFrame:
     """Runs the pair search at once; what is returned is its small result."""
     recent = filter_as_of(posts, cfg.as_of, cfg.days)
-    top = top_pairs_per_run(as_one_run(recent), cfg.top_pairs)
-    return top.orderBy("rank").select(
-        "w1", "w2", "count", "log_weight", ntz(cfg.as_of).alias("ts")
-    )
+    return _pair_table(top_pairs_per_run(as_one_run(recent), cfg.top_pairs), cfg)
 
 
 def build_report(posts: DataFrame, cfg: ReportConfig) -> dict[str, DataFrame]:
@@ -44,6 +42,38 @@ def build_report(posts: DataFrame, cfg: ReportConfig) -> dict[str, DataFrame]:
 
 
 def run_report(posts: DataFrame, cfg: ReportConfig, target: str) -> None:
-    """Builds the three tables and appends each under ``target``."""
-    for name, frame in build_report(posts, cfg).items():
-        append_result(frame, name, f"{target}/{name}")
+    """Builds the three tables and appends each under ``target``.
+
+    The same tables as ``build_report``; texts are read and cut into words once for both word
+    tables.
+    """
+    recent = filter_as_of(posts, cfg.as_of, cfg.days)
+    lists = (
+        dealt_out(recent.select("tid", "text"))
+        .select("tid", text.words_without(F.col("text"), WORD_STOPS).alias("words"))
+        .persist()
+    )
+    try:
+        counts = lists.select(F.explode("words").alias("word")).groupBy("word")
+        tables = {
+            "word_counts": _word_table(
+                counts.agg(F.count("*").alias("count")), global_count(lists), cfg
+            ),
+            "urls": urls_report(posts, cfg),
+            "word_cooccur": _pair_table(top_pairs_of_lists(as_one_run(lists), cfg.top_pairs), cfg),
+        }
+        for name, frame in tables.items():
+            append_result(frame, name, f"{target}/{name}")
+    finally:
+        lists.unpersist()
+
+
+def _word_table(doc_freq: DataFrame, total: DataFrame, cfg: ReportConfig) -> DataFrame:
+    top = words.top_words(doc_freq, total, cfg.top_words)
+    return top.select("word", "percent", ntz(cfg.as_of).alias("ts"))
+
+
+def _pair_table(ranked: DataFrame, cfg: ReportConfig) -> DataFrame:
+    return ranked.orderBy("rank").select(
+        "w1", "w2", "count", "log_weight", ntz(cfg.as_of).alias("ts")
+    )

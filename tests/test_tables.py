@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chirplens.config import ReportConfig
+from chirplens.functions.times import ntz
 from chirplens.plans import report
 from chirplens.schemas import RESULT_TABLES
 from chirplens.sources.tables import append_result, read_result
@@ -24,6 +25,10 @@ def test_run_report_appends(spark, make_posts, tmp_path):
             assert table.schema == RESULT_TABLES[name]
             assert table.select("ts").distinct().count() == runs
     assert read_result(spark, "urls", f"{target}/urls").first()["count"] == 6
+    last = ReportConfig(as_of=AS_OF + timedelta(hours=2))
+    for name, frame in report.build_report(posts, last).items():
+        stored = read_result(spark, name, f"{target}/{name}").where(F.col("ts") == ntz(last.as_of))
+        assert sorted(stored.collect()) == sorted(frame.collect())
 
 
 def test_other_schemas_are_refused(spark, tmp_path):
