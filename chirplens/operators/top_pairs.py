@@ -22,8 +22,8 @@ from chirplens.operators.lookup import BROADCAST_BYTES, lookup, text_and_row_byt
 from chirplens.operators.pairs import dealt_out, explode_pairs
 from chirplens.operators.windows import count_per_run, per_run, span_of, top_per_run
 
-# Words a first search takes per run.  A frame of at most this many words per run is what is
-# broadcast; it does not grow with the posts.
+# Words a first search takes per run.  A frame of at most this many words per run is broadcast,
+# if its measured size allows (there may be many runs); it does not grow with the posts.
 PROBE_WORDS = 400
 
 
@@ -60,10 +60,9 @@ def top_pairs_of_lists(
     read several times and should be persisted.
 
     Words left out of the word counts have no share and thus no scored pair, so counted words
-    that are no pair stop words are all that is needed.
+    are all that is needed.  Those that are pair stop words are never taken.
     """
-    paired = F.array_except("words", text.string_array(PAIR_STOPS))
-    return _search(lists.withColumn("words", paired), k, probe_words, broadcast_bytes)
+    return _search(lists, k, probe_words, broadcast_bytes)
 
 
 def _search(lists: DataFrame, k: int, probe_words: int, broadcast_bytes: int) -> DataFrame:
@@ -73,7 +72,9 @@ def _search(lists: DataFrame, k: int, probe_words: int, broadcast_bytes: int) ->
         top_per_run(_bounded_words(lists), probe_words + 1, *best_first)
     )
     taken = probe.where(F.col("rank") <= probe_words)
-    found = checkpointed(_rank(_probe_counts(lists, taken), taken, k))
+    small = text_and_row_bytes(taken, ["word"]) <= broadcast_bytes
+    counted = _probe_counts(lists, taken) if small else _wanted_counts(lists, taken, small)
+    found = checkpointed(_rank(counted, taken, k, small))
 
     floors = _floors(probe, found, probe_words, k)
     open_runs = floors.where("next_bound >= floor")
@@ -93,9 +94,10 @@ def _search(lists: DataFrame, k: int, probe_words: int, broadcast_bytes: int) ->
 
 
 def _bounded_words(lists: DataFrame) -> DataFrame:
-    """``(run, word, count, total, bound)`` for every word of every run."""
+    """``(run, word, count, total, bound)`` for every word of every run that can form pairs."""
     span = span_of(lists)
     words = lists.select(*span, F.explode("words").alias("word"))
+    words = words.where(~F.col("word").isin(*PAIR_STOPS))
     totals = count_per_run(lists.select(*span), []).withColumnRenamed("count", "total")
     # One row per run.
     return (
@@ -126,11 +128,11 @@ def _wanted_counts(lists: DataFrame, wanted: DataFrame, fits: bool) -> DataFrame
 
 
 def _pairs_per_run(kept: DataFrame) -> DataFrame:
-    lists = kept.where(F.size("words") > 1).withColumn("words", F.sort_array("words"))
+    lists = kept.withColumn("words", F.sort_array("words"))
     return explode_pairs(lists, "run").groupBy("run", "w1", "w2").agg(F.count("*").alias("count"))
 
 
-def _rank(counts: DataFrame, words: DataFrame, k: int, fits: bool = True) -> DataFrame:
+def _rank(counts: DataFrame, words: DataFrame, k: int, fits: bool) -> DataFrame:
     """Scores and ranks counted pairs; pairs with a word that is not in ``words`` for the run
     drop out."""
     scored = counts

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from chirplens.config import RunGrid
 from chirplens.env import checkpointed
 from chirplens.functions import times
+from chirplens.operators.lookup import BROADCAST_BYTES
 
 # A post lies in the windows of the runs ``first .. last``.  All posts with the same two
 # numbers share their fate, so counting is done on them before rows are spread over the runs.
@@ -91,9 +92,15 @@ def most_frequent_per_run(
         order = [F.desc("overall"), key]
         # One key more than is taken: its count covers all keys left out.
         probe = checkpointed(totals.orderBy(*order).limit(probe_keys + 1))
+        keys = probe.agg(
+            F.count("*").alias("n"),
+            F.min("overall").alias("left_out"),
+            F.sum(F.octet_length(key) + F.lit(64)).alias("bytes"),
+        ).first()
         taken = probe.orderBy(*order).limit(probe_keys).select(key)
-        found = checkpointed(_rank_counts(per_run(counts.join(F.broadcast(taken), key)), key, k))
-        keys = probe.agg(F.count("*").alias("n"), F.min("overall").alias("left_out")).first()
+        small = (keys["bytes"] or 0) <= BROADCAST_BYTES
+        taken = F.broadcast(taken) if small else taken.hint("merge")
+        found = checkpointed(_rank_counts(per_run(counts.join(taken, key)), key, k))
         if keys["n"] <= probe_keys:
             return found
         kth = found.where(F.col("rank") == k).select("run", F.col("count").alias("floor"))
