@@ -19,7 +19,7 @@ from chirplens.config import PAIR_STOPS, WORD_STOPS
 from chirplens.env import checkpointed
 from chirplens.functions import scores, text
 from chirplens.operators.lookup import BROADCAST_BYTES, lookup, text_and_row_bytes
-from chirplens.operators.pairs import dealt_out, explode_pairs
+from chirplens.operators.pairs import explode_pairs
 from chirplens.operators.windows import count_per_run, per_run, span_of, top_per_run
 
 # Words a first search takes per run.  A frame of at most this many words per run is broadcast,
@@ -38,26 +38,38 @@ def top_pairs_per_run(
     ``posts`` carry ``tid``, ``text`` and their span of runs.  Runs its jobs at once and
     returns a checkpointed frame of ``k`` rows per run.
     """
-    span = span_of(posts)
-    lists = (
-        dealt_out(posts.select("tid", "text", *span))
-        .select("tid", *span, text.words_without(F.col("text"), WORD_STOPS).alias("words"))
-        .persist()
-    )
+    lists = word_lists(posts).persist()
     try:
         return top_pairs_of_lists(lists, k, probe_words, broadcast_bytes)
     finally:
         lists.unpersist()
 
 
+def word_lists(posts: DataFrame) -> DataFrame:
+    """``(*span, words, copies, tid)``: the different lists of counted words, how many posts have
+    each, and one of those posts.
+
+    One text may be a third of all posts.  Its copies collapse here, combined before the
+    shuffle, so that its pairs are formed once; the shuffle also deals the lists out evenly,
+    while recent posts sit in few files.
+    """
+    span = span_of(posts)
+    words = F.sort_array(text.words_without(F.col("text"), WORD_STOPS))
+    return (
+        posts.select("tid", *span, words.alias("words"))
+        .groupBy(*span, "words")
+        .agg(F.count("*").alias("copies"), F.min("tid").alias("tid"))
+    )
+
+
 def top_pairs_of_lists(
     lists: DataFrame,
     k: int = 300,
     probe_words: int = PROBE_WORDS,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """As ``top_pairs_per_run``, of the distinct counted ``words`` of each post.  ``lists`` is
-    read several times and should be persisted.
+    """As ``top_pairs_per_run``, of the result of ``word_lists``, which is read several times and
+    should be persisted.
 
     Words left out of the word counts have no share and thus no scored pair, so counted words
     are all that is needed.  Those that are pair stop words are never taken.
@@ -96,12 +108,12 @@ def _search(lists: DataFrame, k: int, probe_words: int, broadcast_bytes: int) ->
 def _bounded_words(lists: DataFrame) -> DataFrame:
     """``(run, word, count, total, bound)`` for every word of every run that can form pairs."""
     span = span_of(lists)
-    words = lists.select(*span, F.explode("words").alias("word"))
+    words = lists.select(*span, "copies", F.explode("words").alias("word"))
     words = words.where(~F.col("word").isin(*PAIR_STOPS))
-    totals = count_per_run(lists.select(*span), []).withColumnRenamed("count", "total")
+    totals = count_per_run(lists.select(*span, "copies"), [], "copies").withColumnRenamed("count", "total")
     # One row per run.
     return (
-        count_per_run(words, ["word"])
+        count_per_run(words, ["word"], "copies")
         .join(F.broadcast(totals), "run")
         .withColumn("bound", scores.word_bound(F.col("count"), F.col("total")))
     )
@@ -115,21 +127,24 @@ def _probe_counts(lists: DataFrame, taken: DataFrame) -> DataFrame:
     """
     chosen = taken.groupBy("run").agg(F.collect_set("word").alias("chosen"))
     kept = per_run(lists).join(F.broadcast(chosen), "run")
-    return _pairs_per_run(kept.select("run", F.array_intersect("words", "chosen").alias("words")))
+    return _pairs_per_run(
+        kept.select("run", "copies", F.array_intersect("words", "chosen").alias("words"))
+    )
 
 
 def _wanted_counts(lists: DataFrame, wanted: DataFrame, fits: bool) -> DataFrame:
     """Pairs among any number of wanted words: word rows are looked up and put back into lists
-    per post."""
-    rows = per_run(lists).select("tid", "run", F.explode("words").alias("word"))
+    again."""
+    rows = per_run(lists).select("tid", "run", "copies", F.explode("words").alias("word"))
     kept = lookup(rows, wanted.select("run", "word", "count"), ["run", "word"], "count", fits)
-    back = kept.groupBy("tid", "run").agg(F.collect_set("word").alias("words"))
+    back = kept.groupBy("tid", "run", "copies").agg(F.collect_set("word").alias("words"))
     return _pairs_per_run(back)
 
 
 def _pairs_per_run(kept: DataFrame) -> DataFrame:
     lists = kept.withColumn("words", F.sort_array("words"))
-    return explode_pairs(lists, "run").groupBy("run", "w1", "w2").agg(F.count("*").alias("count"))
+    pairs = explode_pairs(lists, "run", "copies")
+    return pairs.groupBy("run", "w1", "w2").agg(F.sum("copies").alias("count"))
 
 
 def _rank(counts: DataFrame, words: DataFrame, k: int, fits: bool) -> DataFrame:

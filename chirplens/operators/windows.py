@@ -50,13 +50,14 @@ def per_run(frame: DataFrame) -> DataFrame:
     return frame.select(F.explode(F.sequence("first", "last")).alias("run"), *others)
 
 
-def count_per_run(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """``(run, *keys, count)``.
+def count_per_run(rows: DataFrame, keys: list[str], weight: str | None = None) -> DataFrame:
+    """``(run, *keys, count)``; a row counts once, or ``weight`` times.
 
     Rows are first counted per span, then the counts are spread over the runs: a post in 20
     windows is counted once, not 20 times.
     """
-    counts = rows.groupBy(*span_of(rows), *keys).agg(F.count("*").alias("count"))
+    size = F.sum(weight) if weight else F.count("*")
+    counts = rows.groupBy(*span_of(rows), *keys).agg(size.alias("count"))
     if "run" in rows.columns:
         return counts
     return per_run(counts).groupBy("run", *keys).agg(F.sum("count").alias("count"))

@@ -5,13 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chirplens.config import WORD_STOPS, ReportConfig
-from chirplens.functions import text
+from chirplens.config import ReportConfig
 from chirplens.functions.times import ntz
 from chirplens.operators import urls, words
 from chirplens.operators.filters import filter_as_of, global_count
-from chirplens.operators.pairs import dealt_out
-from chirplens.operators.top_pairs import top_pairs_of_lists, top_pairs_per_run
+from chirplens.operators.top_pairs import top_pairs_of_lists, top_pairs_per_run, word_lists
 from chirplens.operators.windows import as_one_run
 from chirplens.sources.tables import append_result
 
@@ -48,19 +46,17 @@ def run_report(posts: DataFrame, cfg: ReportConfig, target: str) -> None:
     tables.
     """
     recent = filter_as_of(posts, cfg.as_of, cfg.days)
-    lists = (
-        dealt_out(recent.select("tid", "text"))
-        .select("tid", text.words_without(F.col("text"), WORD_STOPS).alias("words"))
-        .persist()
-    )
+    lists = word_lists(as_one_run(recent)).persist()
     try:
-        counts = lists.select(F.explode("words").alias("word")).groupBy("word")
+        counts = lists.select("copies", F.explode("words").alias("word")).groupBy("word")
         tables = {
             "word_counts": _word_table(
-                counts.agg(F.count("*").alias("count")), global_count(lists), cfg
+                counts.agg(F.sum("copies").alias("count")),
+                lists.agg(F.sum("copies").alias("n")),
+                cfg,
             ),
             "urls": urls_report(posts, cfg),
-            "word_cooccur": _pair_table(top_pairs_of_lists(as_one_run(lists), cfg.top_pairs), cfg),
+            "word_cooccur": _pair_table(top_pairs_of_lists(lists, cfg.top_pairs), cfg),
         }
         for name, frame in tables.items():
             append_result(frame, name, f"{target}/{name}")

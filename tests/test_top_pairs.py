@@ -60,6 +60,16 @@ def test_single_run(make_posts, seed, vocabulary, skew, k, probe, limit):
     assert found(got) == brute.top_pairs(texts, k)
 
 
+def test_copies_of_a_long_text(make_posts):
+    """Every pair of a text that is half of all posts ties for the first place."""
+    rng = random.Random(10)
+    long = " ".join(f"w{chr(98 + i // 24)}{chr(97 + i % 24)}" for i in range(500))
+    texts = [long] * 60 + [t for t in corpus(10, posts=60) if t]
+    rng.shuffle(texts)
+    posts = make_posts([(i, t, NOON, None) for i, t in enumerate(texts)])
+    assert found(top_pairs_per_run(as_one_run(posts), 40, 30)) == brute.top_pairs(texts, 40)
+
+
 def test_first_phase_can_suffice_and_be_partial(make_posts):
     """Words left out by the first phase, whose answer is still complete."""
     texts = corpus(7, posts=200, vocabulary=400, skew=1.2)
