@@ -5,10 +5,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chirplens.llm import near_dedup, toxicity
+from chirplens.llm import decontaminate, exact_dedup, mixing, near_dedup, sharding, toxicity
 from chirplens.llm.common import table
 
 
+def op1_mix(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    plan = mixing.mix_plan(docs)
+    taken = F.col("size") * F.col("copies")
+    return plan.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+
+
+def op2_shards(spark: SparkSession, folder: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, folder, "documents").select(
+        "doc_id",
+        "text",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+    )
+    # Ties of the hash fall to the checksum; texts need not be shuffled for that.
+    placed = sharding.assign(docs.drop("text"), text_col="text_crc32")
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_leaks(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+
+
+def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, folder, "labels"))
@@ -26,8 +64,52 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_mix": op1_mix,
+    "op2_shards": op2_shards,
+    "op4_decontaminate": op4_decontaminate,
+    "op5_exact_dedup": op5_exact_dedup,
     "op8_toxicity": op8_toxicity,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# The level is found by trying, in the order in which sources reach their cap, how many are full.
+_OP1_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source,
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+  FROM documents),
+per AS (SELECT source, sum(size)::BIGINT AS s FROM sized GROUP BY source),
+weighed AS (
+  SELECT source, s, 2.0::DOUBLE * s AS most,
+         [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w
+  FROM per),
+filled AS (
+  SELECT *, sum(most) OVER before AS c, (SELECT sum(w) FROM weighed) - coalesce(sum(w) OVER before, 0) AS left_w,
+         row_number() OVER (ORDER BY most / w, source NULLS LAST) AS k
+  FROM weighed
+  WINDOW before AS (ORDER BY most / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+levels AS (
+  SELECT k, most / w AS ratio, ((SELECT sum(s) FROM per) * 1.5::DOUBLE - coalesce(c, 0)) / left_w AS level
+  FROM filled),
+found AS (SELECT level FROM levels WHERE level <= ratio ORDER BY k LIMIT 1),
+plan AS (
+  SELECT source, s, round(least(most, (SELECT level FROM found) * w), 6) AS target FROM weighed),
+drawn AS (
+  SELECT d.doc_id, d.size, p.s AS source_size, p.target,
+         CASE WHEN p.s > 0 THEN p.target / p.s ELSE 1.0 END AS rate,
+         ('0x' || substr(md5('mix-1:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 13))::BIGINT
+           / 4503599627370496.0::DOUBLE AS chance
+  FROM sized d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, size, source_size, target,
+       (size * (floor(rate) + CASE WHEN chance < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM drawn
+"""
+
+_OP5_SQL = """
+WITH texts AS (SELECT doc_id, sha256(coalesce(text, '')) AS sha FROM documents)
+SELECT doc_id, max(doc_id) OVER own AS keep_id, count(*) OVER own AS group_size,
+       doc_id = max(doc_id) OVER own AS kept, sha AS text_sha256
+FROM texts WINDOW own AS (PARTITION BY sha)
+"""
+
+ORACLE_SQL = {"op1_mix": _OP1_SQL, "op5_exact_dedup": _OP5_SQL}

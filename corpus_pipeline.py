@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chirplens.llm import near_dedup, toxicity
+from chirplens.llm import decontaminate, mixing, near_dedup, sharding, toxicity
 from chirplens.llm.common import stage_folder, table
 
 DOCUMENTS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -25,9 +25,27 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return near_dedup.drop_near_duplicates(docs, percent=80).select(*DOCUMENTS)
 
 
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark")).select(*DOCUMENTS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as its source's target asks for."""
+    return mixing.mix(docs).select(*DOCUMENTS)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their shard and their place in it."""
+    return sharding.assign(docs).select(*DOCUMENTS, "shard", "slot")
+
+
 STAGES = [
     ("toxicity", drop_toxic),
     ("minhash_near_dedup", drop_near_duplicates),
+    ("decontamination", drop_leaks),
+    ("mixing", mix_sources),
+    ("sharding", shard),
 ]
 
 # The classifier and the confirmed links have no SQL form; tests compare with brute force.
