@@ -18,6 +18,9 @@ from chirplens.llm.shingles import WordHashes, mixed, set_key, shingle_set
 # (1 - 0.8 ** 4) ** 25 < 2e-6, one of 0.85 with less than 1e-8.
 BANDS, ROWS = 25, 4
 _CHUNK = 4096
+# Members of a band that are compared with so many others at a time, and the width of a matrix.
+_BLOCK_ROWS = 400
+_COLUMNS = 4096
 
 
 def _bijection(values: np.ndarray) -> np.ndarray:
@@ -108,22 +111,80 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, limit:
     return sets.join(wanted.select("cid", "hi", "lo"), ["hi", "lo"]).select("cid", "shingles")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` with ``100 * intersection >= percent * union`` on full sets."""
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``(a, b, linked, n, diff)`` for pairs of classes: whether ``100 * intersection`` is at
+    least ``percent * union`` on the full sets, the size of the set of ``b``, and the shingles
+    that only one of the two has."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keep = []
+            linked, sizes, diffs = [], [], []
             for left, right in zip(batch["left"], batch["right"], strict=True):
                 x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            yield batch.loc[keep, ["a", "b"]]
+                diff = np.setxor1d(x, y, assume_unique=True)
+                linked.append(_similar(len(x) + len(y), len(diff), percent))
+                sizes.append(len(y))
+                diffs.append(diff.tobytes())
+            out = batch[["a", "b"]].assign(linked=linked, n=sizes, diff=diffs)
+            yield out
 
     members = sets.select(F.col("cid").alias("b"), F.col("shingles").alias("right"))
     centres = sets.select(F.col("cid").alias("a"), F.col("shingles").alias("left"))
     both = pairs.join(members.hint("merge"), "b").join(centres.hint("merge"), "a")
-    return both.mapInPandas(run, "a long, b long")
+    return both.mapInPandas(run, "a long, b long, linked boolean, n long, diff binary")
+
+
+def _similar(total, apart, percent: int):
+    """Jaccard similarity from the sum of two set sizes and the number of elements that only one
+    of them has: ``(total - apart) / (total + apart)``."""
+    return 100 * (total - apart) >= percent * (total + apart)
+
+
+def _across(rows: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` between members of a band with different labels.
+
+    Members are dealt into blocks, and each pair of blocks is one group of bounded size.  All
+    members of a band are known by their differences from its centre, and two sets differ where
+    their differences differ, so a product of 0/1 matrices over those compares all pairs of a
+    group exactly.  A group gives no more links than connect what is linked.
+    """
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.drop_duplicates("cid")
+        found = [np.frombuffer(d, np.uint64) for d in group["diff"]]
+        lengths = np.array([len(d) for d in found])
+        owner = np.repeat(np.arange(len(found)), lengths)
+        values, column = np.unique(np.concatenate(found), return_inverse=True)
+        shared = np.zeros((len(found), len(found)), np.float32)
+        for start in range(0, len(values), _COLUMNS):
+            inside = (column >= start) & (column < start + _COLUMNS)
+            part = np.zeros((len(found), min(_COLUMNS, len(values) - start)), np.float32)
+            part[owner[inside], column[inside] - start] = 1
+            shared += part @ part.T
+        sizes = group["n"].to_numpy()
+        apart = lengths[:, None] + lengths[None, :] - 2 * shared.astype(np.int64)
+        linked = _similar(sizes[:, None] + sizes[None, :], apart, percent)
+        root = {label: label for label in group["label"]}
+
+        def top(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        labels, ids, links = group["label"].to_numpy(), group["cid"].to_numpy(), []
+        for i, j in zip(*np.nonzero(np.triu(linked & (labels[:, None] != labels[None, :]))), strict=True):
+            x, y = top(labels[i]), top(labels[j])
+            if x != y:
+                root[x] = y
+                links.append((ids[i], ids[j]))
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    own = F.pmod(F.xxhash64("cid"), F.col("blocks"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    dealt = rows.withColumn("own", own).withColumn("other", other)
+    dealt = dealt.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
+    groups = dealt.select("band", "lo", "hi", "cid", "label", "n", "diff").groupBy("band", "lo", "hi")
+    return groups.applyInPandas(compare, "a long, b long")
 
 
 def near_duplicates(
@@ -142,12 +203,12 @@ def near_duplicates(
     least id; ``kept`` marks the row that has it.
 
     1. Every text becomes its shingle-set key and band keys; rows of equal sets are one class.
-    2. Classes sharing a band meet the least class of that band, a star, so that the candidates
-       are linear in the size of a group.  They are confirmed on their full sets and joined into
-       components.
-    3. In bands whose classes are still in different components, every pair across components
-       is confirmed too.  What a star missed is found here, so a group's pairs are never all
-       formed unless its members are candidates that do not belong together.
+    2. Classes sharing a band meet one class of that band, a star, so that the candidates are
+       linear in the size of a group.  They are compared on their full sets, and the links are
+       joined into components.
+    3. In bands whose classes are still in different components, every two members are compared,
+       in blocks of bounded size, by what sets them apart from the centre they have both met.
+       This finds what a star cannot; pairs are never rows, only links are.
 
     NULL and empty texts, and texts of white space, have size 0 and are linked with nothing.
     Repeated rows share one class; rows with the same id are all kept or all dropped.  Rows
@@ -159,7 +220,7 @@ def near_duplicates(
     full = features.where("n_shingles > 0")
     classes = checkpointed(
         full.groupBy("hi", "lo").agg(
-            F.min("rid").alias("cid"), F.min("id").alias("id"), F.max("n_shingles").alias("n")
+            F.min("rid").alias("cid"), F.min("id").alias("id")
         )
     )
     banded = (
@@ -167,30 +228,31 @@ def near_duplicates(
         .select(F.col("rid").alias("cid"), F.explode("bands").alias("band"))
         .distinct()
     )
-    centres = banded.groupBy("band").agg(F.min("cid").alias("centre"), F.max("cid").alias("last"))
-    centres = centres.where("centre < last").select("band", "centre")
-    members = checkpointed(banded.join(centres, "band"))
-    star = members.where("cid <> centre").select(F.col("centre").alias("a"), F.col("cid").alias("b"))
-    sizes = classes.select("cid", "n")
-    star = checkpointed(_alike(star.distinct(), sizes, percent))
-    links = _check(docs, star, classes, percent, id_col, text_col, broadcast_bytes)
-
-    labelled = checkpointed(
-        members.join(
-            components(links).select(F.col("node").alias("cid"), "component"), "cid", "left"
-        ).withColumn("label", F.coalesce("component", "cid"))
-    )
-    mixed_bands = labelled.groupBy("band").agg(
-        F.min("label").alias("least"), F.max("label").alias("most")
+    several = banded.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
+    members = checkpointed(banded.join(several, "band"))
+    # The class met most often is the likeliest origin of the others, and the best centre.
+    met = members.groupBy("cid").agg(F.sum("size").alias("met"))
+    first = F.max(F.struct(F.col("met"), (-F.col("cid")).alias("minus")))
+    centres = members.join(met, "cid").groupBy("band").agg(first.alias("first"))
+    members = checkpointed(members.join(centres.select("band", (-F.col("first.minus")).alias("a")), "band"))
+    star = members.where("cid <> a").select("a", F.col("cid").alias("b")).distinct()
+    star = _check(docs, checkpointed(star), classes, percent, id_col, text_col, broadcast_bytes)
+    links = star.where("linked").select("a", "b")
+
+    labels = checkpointed(components(links)).select(F.col("node").alias("cid"), "component")
+    labelled = members.join(labels, "cid", "left")
+    labelled = checkpointed(labelled.withColumn("label", F.coalesce("component", "cid")))
+    open_bands = labelled.groupBy("band").agg(F.min("label").alias("least"), F.max("label").alias("most"))
+    open_bands = open_bands.where("least < most").select("band")
+    blocks = F.ceil((F.col("size") - 1) / _BLOCK_ROWS)
+    rows_left = (
+        labelled.where("cid <> a and size > 2")
+        .join(open_bands, "band", "left_semi")
+        .select("band", "label", "a", F.col("cid").alias("b"), blocks.alias("blocks"))
+        .join(star.select("a", "b", "n", "diff").hint("merge"), ["a", "b"])
+        .withColumnRenamed("b", "cid")
     )
-    open_rows = labelled.join(mixed_bands.where("least < most").select("band"), "band", "left_semi")
-    x = open_rows.where("cid <> centre").select("band", F.col("cid").alias("a"), F.col("label").alias("la"))
-    y = open_rows.where("cid <> centre").select("band", F.col("cid").alias("b"), F.col("label").alias("lb"))
-    across = x.join(y, "band").where("a < b and la <> lb").select("a", "b").distinct()
-    across = checkpointed(_alike(across, sizes, percent))
-    if has_rows(across):
-        more = _check(docs, across, classes, percent, id_col, text_col, broadcast_bytes)
-        links = links.unionByName(more)
+    links = links.unionByName(checkpointed(_across(rows_left, percent).distinct()))
     found = checkpointed(components(links))
 
     named = classes.join(found.withColumnRenamed("node", "cid"), "cid").select("cid", "id", "component")
@@ -214,19 +276,11 @@ def near_duplicates(
     )
 
 
-def _alike(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose set sizes allow the similarity."""
-    a, b = sizes.toDF("a", "na"), sizes.toDF("b", "nb")
-    sized = pairs.join(a, "a").join(b, "b")
-    ratio = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    return sized.where(ratio).select("a", "b")
-
-
 def _check(docs, pairs, classes, percent, id_col, text_col, broadcast_bytes) -> DataFrame:
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
     wanted = checkpointed(classes.join(nodes, "cid", "left_semi").select("cid", "id", "hi", "lo"))
     sets = _sets(docs, wanted, id_col, text_col, broadcast_bytes)
-    return checkpointed(_confirmed(pairs, sets, percent).distinct())
+    return checkpointed(_compared(pairs, sets, percent).dropDuplicates(["a", "b"]))
 
 
 def drop_near_duplicates(
