@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chirplens.llm import decontaminate, exact_dedup, mixing, near_dedup, sharding, toxicity
+from chirplens.llm import (
+    decontaminate,
+    exact_dedup,
+    mixing,
+    near_dedup,
+    pii,
+    sharding,
+    token_counts,
+    toxicity,
+)
 from chirplens.llm.common import table
 
 
@@ -37,6 +46,11 @@ def op2_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pii.find_personal_data(docs, pii.fit_on(docs))
+
+
 def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find_leaks(
         table(spark, folder, "documents"), table(spark, folder, "benchmark")
@@ -47,6 +61,14 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = table(spark, folder, "documents")
+    return token_counts.count_tokens(docs, path, public_tokenizers.PATTERN)
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, folder, "labels"))
@@ -66,8 +88,10 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_shards": op2_shards,
+    "op3_personal_data": op3_personal_data,
     "op4_decontaminate": op4_decontaminate,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_token_counts": op6_token_counts,
     "op8_toxicity": op8_toxicity,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
