@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from chirplens.llm import (
     decontaminate,
     exact_dedup,
+    html_text,
     mixing,
     near_dedup,
     pii,
     sharding,
+    substring_dedup,
     token_counts,
     toxicity,
 )
@@ -69,6 +71,10 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(docs, path, public_tokenizers.PATTERN)
 
 
+def op7_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract_main_text(table(spark, folder, "pages"))
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, folder, "labels"))
@@ -81,6 +87,10 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.repeated_passages(table(spark, folder, "documents"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, folder, "documents"), percent=85)
 
@@ -92,7 +102,9 @@ QUERIES = {
     "op4_decontaminate": op4_decontaminate,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_token_counts": op6_token_counts,
+    "op7_main_text": op7_main_text,
     "op8_toxicity": op8_toxicity,
+    "op9_repeated_passages": op9_repeated_passages,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
