@@ -130,8 +130,9 @@ def select_features(sample: DataFrame, limit: int = FEATURES) -> list[str]:
         counts: tuple[Counter, Counter] = (Counter(), Counter())
 
         def told() -> pd.DataFrame:
-            keys = list(counts[0].keys() | counts[1].keys())
-            frame = pd.DataFrame({"feature": keys, "n0": [counts[0][k] for k in keys], "n1": [counts[1][k] for k in keys]})
+            keys = counts[0].keys() | counts[1].keys()
+            rows = [(k, counts[0][k], counts[1][k]) for k in keys]
+            frame = pd.DataFrame(rows, columns=["feature", "n0", "n1"])
             counts[0].clear()
             counts[1].clear()
             return frame
@@ -210,7 +211,6 @@ def fit_weights(
 ) -> tuple[np.ndarray, float]:
     """Minimises weighted log loss + ``l2`` * |w|^2 + ``fairness`` * mean squared difference of
     the scores (before the logistic) of texts and their swapped versions."""
-    data = data.sort_values(["toxic", "weight"], key=None, kind="stable")
     rows = _Rows(list(data["ids"]), features)
     y = data["toxic"].to_numpy(float)
     share = data["weight"].to_numpy(float) / data["weight"].sum()
