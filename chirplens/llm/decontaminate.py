@@ -8,7 +8,8 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -185,6 +186,18 @@ def find_leaks(
     return result
 
 
+def _clean(text: Column, shared: Broadcast, rate: float) -> Column:
+    """Whether a text contains none of a block's items."""
+
+    @F.pandas_udf("boolean")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        finder = LeakFinder(shared.value, rate)
+        for batch in batches:
+            yield pd.Series([not finder.find(text) for text in batch], dtype=bool)
+
+    return clean(text)
+
+
 def drop_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -199,12 +212,5 @@ def drop_leaks(
     spark = docs.sparkSession
     for items in _blocks(benchmark, "item_id", "text"):
         shared = spark.sparkContext.broadcast(items)
-
-        @F.pandas_udf("boolean")
-        def clean(batches: Iterator[pd.Series], shared=shared) -> Iterator[pd.Series]:
-            finder = LeakFinder(shared.value, rate)
-            for batch in batches:
-                yield pd.Series([not finder.find(text) for text in batch], dtype=bool)
-
-        docs = docs.where(clean(F.col(text_col)))
+        docs = docs.where(_clean(F.col(text_col), shared, rate))
     return docs

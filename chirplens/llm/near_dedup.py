@@ -81,9 +81,9 @@ def _features(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int
                     signature = circulant_signature(found, bands * rows)
                     out.append((len(found), *key, band_keys(signature, bands, rows)))
                 else:
-                    out.append((0, None, None, None))
+                    # No NULL keys: they would turn the column into floats.
+                    out.append((0, 0, 0, None))
             frame = pd.DataFrame(out, columns=["n_shingles", "hi", "lo", "bands"])
-            frame[["hi", "lo"]] = frame[["hi", "lo"]].astype("Int64")
             frame.insert(0, "id", batch["id"].to_numpy())
             yield frame
 
