@@ -4,8 +4,9 @@ Queries run over the whole tables and whole texts that ``chirplens.sources.sampl
 Reports look at the last four days before ``AS_OF``; that window is part of the report.
 
 Pair queries without a ranking have tens of millions of result rows.  They form every pair and
-return per-word summaries of them, so that results can be compared; ``tests/`` compares the
-pairs themselves with a brute-force count on small data.
+return, for each first word, the number of its pairs and sums over hashes of the other columns of
+each pair: one pair more, less or different changes them.  ``tests/`` compares the pairs
+themselves with a brute-force count on small data.
 """
 
 from __future__ import annotations
@@ -55,18 +56,28 @@ def entry(spark: SparkSession) -> DataFrame:
 # --- queries -----------------------------------------------------------------------------
 
 
+# The sample tables are one file each; their texts are dealt out over so many partitions.
+SPREAD = 32
+
+
 def _posts(spark: SparkSession, folder: str) -> DataFrame:
-    return sample.texts(spark, folder)
+    return sample.texts(spark, folder, SPREAD)
 
 
 def _plain_posts(spark: SparkSession, folder: str) -> DataFrame:
-    return sample.texts(spark, folder, spread=False)
+    return sample.texts(spark, folder)
 
 
 def _recent(spark: SparkSession, folder: str) -> DataFrame:
     return filters.filter_as_of(_posts(spark, folder), AS_OF)
 
 
+def _hashed(*columns: str) -> F.Column:
+    """40 bits of the columns' text, to be summed."""
+    text = F.concat_ws(":", *[F.col(c).cast("string") for c in columns])
+    return F.conv(F.substring(F.md5(text), 1, 10), 16, 10).cast("long")
+
+
 def _rounded(frame: DataFrame, column: str) -> DataFrame:
     """Logarithms differ in the last digits between engines; shares do not."""
     return frame.withColumn(column, F.round(column, 6 if column == "log_weight" else 9))
@@ -81,11 +92,11 @@ def _scan_tweets(spark, folder):
 
 
 def _filter_recent(spark, folder):
-    return filters.filter_recent(_plain_posts(spark, folder), AS_OF)
+    return _flat_urls(filters.filter_recent(sample.posts(spark, folder), AS_OF))
 
 
 def _filter_as_of(spark, folder):
-    return filters.filter_as_of(_plain_posts(spark, folder), AS_OF)
+    return _flat_urls(filters.filter_as_of(sample.posts(spark, folder), AS_OF))
 
 
 def _high_water_mark(spark, folder):
@@ -93,9 +104,15 @@ def _high_water_mark(spark, folder):
 
 
 def _incremental_take(spark, folder):
-    last_id = upsert.high_water_mark(_plain_posts(spark, folder)).first()["last_id"]
-    taken = upsert.incremental_take(sample.feed(spark, folder), last_id)
-    return taken.select("id", F.col("user.screen_name").alias("user"), "text", "created_at")
+    mark = upsert.high_water_mark(_plain_posts(spark, folder)).scalar()
+    taken = upsert.incremental_take(sample.feed(spark, folder), mark)
+    return taken.select(
+        "id",
+        F.col("user.screen_name").alias("user"),
+        "text",
+        "created_at",
+        F.array_join("urls.expanded_url", " ").alias("urls"),
+    )
 
 
 def _normalize_raw(spark, folder):
@@ -109,7 +126,7 @@ def _upsert_tweets(spark, folder):
 
 
 def _latest_tweets(spark, folder):
-    return filters.latest_first(_plain_posts(spark, folder)).select("tid", "user", "created_at")
+    return _flat_urls(filters.latest_first(sample.posts(spark, folder)))
 
 
 def _tokenize(spark, folder):
@@ -128,8 +145,7 @@ def _word_pairs(spark, folder):
     formed = pairs.word_pairs(_plain_posts(spark, folder))
     return formed.groupBy("tid", "w1").agg(
         F.count("*").alias("partners"),
-        F.sum(F.length("w2")).alias("letters"),
-        F.sum(F.ascii("w2")).alias("initials"),
+        F.sum(_hashed("w2")).alias("second_words"),
     )
 
 
@@ -154,9 +170,7 @@ def _pair_counts(spark, folder):
     return counts.groupBy("w1").agg(
         F.count("*").alias("partners"),
         F.sum("count").alias("mentions"),
-        F.max("count").alias("most"),
-        F.sum(F.col("count") * F.length("w2")).alias("letters"),
-        F.sum(F.col("count") * F.ascii("w2")).alias("initials"),
+        F.sum(_hashed("w2", "count")).alias("pairs"),
     )
 
 
@@ -175,6 +189,10 @@ def _cooccur_score(spark, folder):
         F.round(F.max("log_weight"), 6).alias("best"),
         F.round(F.min("log_weight"), 6).alias("least"),
         F.round(F.sum("log_weight"), 3).alias("total"),
+        F.sum(_hashed("w2", "count")).alias("pairs"),
+        F.sum(
+            _hashed("w2") % 10_007 * F.round(F.col("log_weight") * 10_000).cast("long")
+        ).alias("scores"),
     )
 
 
@@ -277,6 +295,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # --- the same as SQL -----------------------------------------------------------------------
 
 
+def _hash(expression: str) -> str:
+    return f"('0x' || substr(md5({expression}), 1, 10))::BIGINT"
+
+
 def _list(values) -> str:
     return "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + ")"
 
@@ -284,20 +306,26 @@ def _list(values) -> str:
 _TS = f"TIMESTAMP '{AS_OF}'"
 
 # The derived tables; each statement uses those it needs.
-_TWEETS = """
+_TWEETS = f"""
+sizes AS (SELECT (SELECT count(*) FROM events) AS ne, (SELECT count(*) FROM documents) AS nd),
 ev AS (
-  SELECT event_id // ((SELECT count(*) FROM events) // (SELECT count(*) FROM documents)) AS doc_id,
+  SELECT least(event_id // greatest(1, ne // greatest(1, nd)), nd - 1) AS doc_id,
          max(ts) AS created_at
-  FROM events GROUP BY 1),
+  FROM events, sizes GROUP BY 1),
 tweets AS (
   SELECT d.doc_id AS tid, d.source AS "user", d.text, ev.created_at
-  FROM documents d LEFT JOIN ev USING (doc_id))"""
+  FROM documents d LEFT JOIN ev USING (doc_id)
+  UNION ALL
+  SELECT -doc_id - 1, 'edge', CASE WHEN toxic = 1 THEN NULL ELSE 'undated edge' END,
+         CASE WHEN toxic = 1 THEN TIMESTAMP '{sample.EDGE_TIME}' END
+  FROM labels WHERE toxic = 1 OR quality = 0)"""
 
 _LINKED = (
     _TWEETS
     + """,
 linked AS (
-  SELECT t.*, list_concat([p.url], regexp_extract_all(p.html, 'href="([^"]*)"', 1)) AS urls
+  SELECT t.*, CASE WHEN t.tid >= 0 THEN
+           list_concat([p.url], regexp_extract_all(p.html, 'href="([^"]*)"', 1)) END AS urls
   FROM tweets t LEFT JOIN pages p ON p.page_id = t.tid % (SELECT count(*) FROM pages))"""
 )
 
@@ -436,12 +464,13 @@ def oracle_sql() -> dict[str, str]:
     ranked = "ORDER BY round(log_weight, 9) DESC, w1, w2"
     return {
         "scan_tweets": f'WITH {_LINKED} SELECT tid, "user", text, created_at, {flat} FROM linked',
-        "filter_recent": f"WITH {_TWEETS} SELECT * FROM tweets "
-        f"WHERE created_at > {_TS} - INTERVAL 4 DAY",
-        "filter_as_of": f"WITH {_TWEETS} SELECT * FROM tweets WHERE {_RECENT}",
+        "filter_recent": f'WITH {_LINKED} SELECT tid, "user", text, created_at, {flat} '
+        f"FROM linked WHERE created_at > {_TS} - INTERVAL 4 DAY",
+        "filter_as_of": f'WITH {_LINKED} SELECT tid, "user", text, created_at, {flat} '
+        f"FROM linked WHERE {_RECENT}",
         "high_water_mark": f"WITH {_TWEETS} SELECT max(tid) AS last_id FROM tweets",
-        "incremental_take": f'WITH {_FEED} SELECT id, "user", text, {posted} AS created_at '
-        "FROM feed WHERE id > (SELECT max(tid) FROM tweets) ORDER BY id DESC LIMIT 200",
+        "incremental_take": f'WITH {_FEED} SELECT id, "user", text, {posted} AS created_at, '
+        f"{flat} FROM feed WHERE id > (SELECT max(tid) FROM tweets)",
         "normalize_raw": f'WITH {_FEED} SELECT id AS tid, "user", text, posted AS created_at, '
         f"{flat}, seq FROM feed",
         "upsert_tweets": f"""WITH {_FEED},
@@ -450,8 +479,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT tid, "user", text, created_at, {flat} FROM linked
             WHERE tid NOT IN (SELECT id FROM newest)
             UNION ALL SELECT id, "user", text, posted, {flat} FROM newest""",
-        "latest_tweets": f'WITH {_TWEETS} SELECT tid, "user", created_at FROM tweets '
-        "ORDER BY created_at DESC, tid",
+        "latest_tweets": f'WITH {_LINKED} SELECT tid, "user", text, created_at, {flat} '
+        "FROM linked ORDER BY created_at DESC, tid",
         "tokenize": f"WITH {_WORDS} SELECT tid, token FROM tokens",
         "distinct_words": f"WITH {_WORDS} SELECT tid, word FROM words",
         "word_extract": f"WITH {_WORDS} SELECT tid, word FROM words "
@@ -459,23 +488,24 @@ def oracle_sql() -> dict[str, str]:
         "word_pairs": f"""WITH {_WORDS},
             pw AS (SELECT tid, word FROM words WHERE word NOT IN {_list(PAIR_STOPS)})
             SELECT a.tid, a.word AS w1, count(*) AS partners,
-                   sum(length(b.word))::BIGINT AS letters, sum(ascii(b.word))::BIGINT AS initials
+                   sum({_hash('b.word')})::BIGINT AS second_words
             FROM pw a JOIN pw b ON a.tid = b.tid AND a.word < b.word GROUP BY a.tid, a.word""",
         "url_extract": f"WITH {_LINKED} SELECT tid, lower(unnest(urls)) AS url FROM linked",
         "word_percent": f"WITH {_word_sql()} SELECT word, round(percent, 9) AS percent "
         "FROM percents",
         "cooccur_score": f"""WITH {_pair_sql(_RECENT)}
             SELECT w1, count(*) AS partners, round(max(log_weight), 6) AS best,
-                   round(min(log_weight), 6) AS least, round(sum(log_weight), 3) AS total
+                   round(min(log_weight), 6) AS least, round(sum(log_weight), 3) AS total,
+                   sum({_hash("w2 || ':' || count")})::BIGINT AS pairs,
+                   sum({_hash('w2')} % 10007 * round(log_weight * 10000)::BIGINT)::BIGINT AS scores
             FROM scored GROUP BY w1""",
         "global_count": f"WITH {_TWEETS} SELECT count(*) AS n FROM tweets WHERE {_RECENT}",
         "word_doc_freq": f"WITH {_word_sql()} SELECT word, count FROM freq",
         "url_counts": f"WITH {_LINKED}, links AS (SELECT lower(unnest(urls)) AS url FROM linked) "
         "SELECT url, count(*) AS count FROM links GROUP BY url",
         "pair_counts": f"""WITH {_pair_sql()}
-            SELECT w1, count(*) AS partners, sum(count)::BIGINT AS mentions, max(count) AS most,
-                   sum(count * length(w2))::BIGINT AS letters,
-                   sum(count * ascii(w2))::BIGINT AS initials
+            SELECT w1, count(*) AS partners, sum(count)::BIGINT AS mentions,
+                   sum({_hash("w2 || ':' || count")})::BIGINT AS pairs
             FROM pairs GROUP BY w1""",
         "top_words": f"WITH {_word_sql()} SELECT word, round(percent, 9) AS percent "
         "FROM percents ORDER BY percents.percent DESC, word LIMIT 500",
@@ -497,7 +527,7 @@ def oracle_sql() -> dict[str, str]:
             best AS (SELECT * FROM cooccur WHERE ts > {_TS} - INTERVAL 4 DAY
                      QUALIFY row_number() OVER (
                        PARTITION BY w1, w2 ORDER BY log_weight DESC, count DESC) = 1)
-            SELECT {scores} FROM best {ranked.replace("log_weight", "best.log_weight")} LIMIT 50""",
+            SELECT {scores} FROM best {ranked.replace("log_weight", "best.log_weight")}""",
         "emerging_pairs": f"""WITH {_PAIR_RUNS}
             SELECT w1, w2, round(max(log_weight), 6) AS log_weight FROM cooccur
             WHERE ts > {_TS} - INTERVAL 1 DAY
@@ -507,10 +537,10 @@ def oracle_sql() -> dict[str, str]:
         "popular_words_in_period": f"""WITH {_WORD_RUNS}
             SELECT word, round(max(percent), 9) AS percent FROM word_counts
             WHERE ts BETWEEN TIMESTAMP '{PERIOD[0]}' AND TIMESTAMP '{PERIOD[1]}'
-            GROUP BY word ORDER BY max(word_counts.percent) DESC, word LIMIT 50""",
+            GROUP BY word ORDER BY max(word_counts.percent) DESC, word""",
         "top_urls_recent": f"""WITH {_URL_RUNS}
             SELECT url, max(count) AS count FROM urls WHERE ts > {_TS} - INTERVAL 4 DAY
-            GROUP BY url ORDER BY max(urls.count) DESC, url LIMIT 50""",
+            GROUP BY url ORDER BY max(urls.count) DESC, url""",
         "pair_trend": f"""WITH {_PAIR_RUNS}
             SELECT w1, w2, ts, count,
                    lag(count) OVER (PARTITION BY w1, w2 ORDER BY ts) AS previous,

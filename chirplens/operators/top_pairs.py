@@ -136,7 +136,7 @@ def _wanted_counts(lists: DataFrame, wanted: DataFrame, fits: bool) -> DataFrame
     """Pairs among any number of wanted words: word rows are looked up and put back into lists
     again."""
     rows = per_run(lists).select("tid", "run", "copies", F.explode("words").alias("word"))
-    kept = lookup(rows, wanted.select("run", "word", "count"), ["run", "word"], "count", fits)
+    kept = lookup(rows, wanted.select("run", "word"), ["run", "word"], fits)
     back = kept.groupBy("tid", "run", "copies").agg(F.collect_set("word").alias("words"))
     return _pairs_per_run(back)
 
@@ -157,7 +157,7 @@ def _rank(counts: DataFrame, words: DataFrame, k: int, fits: bool) -> DataFrame:
             F.col("word").alias("w" + i),
             scores.fraction(F.col("count"), F.col("total")).alias("p" + i),
         )
-        scored = lookup(scored, side, ["run", "w" + i], "p" + i, fits)
+        scored = lookup(scored, side, ["run", "w" + i], fits)
     weight = scores.pair_score(F.col("count"), F.col("p1"), F.col("p2"))
     scored = scored.select("run", "w1", "w2", "count", weight.alias("log_weight"))
     order = [F.desc(scores.rank_key(F.col("log_weight"))), "w1", "w2"]

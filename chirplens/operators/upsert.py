@@ -12,15 +12,20 @@ def high_water_mark(posts: DataFrame) -> DataFrame:
 
 
 def incremental_take(
-    raw: DataFrame, last_id: int | None, cap: int = 200, first_cap: int = 20
+    raw: DataFrame, last_id: int | Column | None, page_size: int | None = None
 ) -> DataFrame:
-    """The newest ``cap`` feed records after the mark; a first load takes ``first_cap``.
+    """The feed records with an id above the mark, all of them; an empty store has no mark.
 
-    The caps are the feed's own page sizes, not a way to save work.
+    ``page_size`` takes the records of about so many lowest ids only: the next take starts where
+    this one ended, so a backlog is drained page by page and nothing is lost.  An id that was
+    sent several times is never cut in two.
     """
-    if last_id is None:
-        return raw.orderBy(F.desc("id")).limit(first_cap)
-    return raw.where(F.col("id") > last_id).orderBy(F.desc("id")).limit(cap)
+    mark = last_id if isinstance(last_id, Column) else F.lit(last_id).cast("long")
+    fresh = raw.where(F.coalesce(F.col("id") > mark, mark.isNull()))
+    if page_size is None:
+        return fresh
+    page = fresh.select("id").orderBy("id").limit(page_size)
+    return fresh.where(F.col("id") <= page.agg(F.max("id").alias("id")).scalar())
 
 
 def newest_per_id(posts: DataFrame, *newest_first: Column) -> DataFrame:

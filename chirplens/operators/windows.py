@@ -66,11 +66,18 @@ def count_per_run(rows: DataFrame, keys: list[str], weight: str | None = None) -
 def top_per_run(frame: DataFrame, k: int, *order: Column | str, rank: str = "rank") -> DataFrame:
     """The first ``k`` rows of each run, with their ``rank``.
 
-    Spark keeps only ``k`` rows per run and task before the shuffle (group limit), so no task
-    gets more than ``k`` rows per run from any other.
+    A run is ranked in parts first, dealt out by hash over as many tasks as a shuffle has, and
+    only the first ``k`` rows of a part meet the others: no task sorts a whole run, for any
+    ``k``.  (For small ``k`` Spark also limits each task's rows before the first shuffle.)
     """
+    spark = frame.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    part = F.pmod(F.xxhash64(*[c for c in frame.columns if c != "run"]), F.lit(parts))
+    first = F.row_number().over(Window.partitionBy("run", "_part").orderBy(*order))
+    few = frame.withColumn("_part", part).withColumn("_first", first).where(F.col("_first") <= k)
     window = Window.partitionBy("run").orderBy(*order)
-    return frame.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
+    ranked = few.drop("_part", "_first").withColumn(rank, F.row_number().over(window))
+    return ranked.where(F.col(rank) <= k)
 
 
 def most_frequent_per_run(

@@ -14,14 +14,19 @@ from pyspark.sql import functions as F
 from chirplens.functions import scores, times
 
 
+def _first(ranked: DataFrame, k: int | None) -> DataFrame:
+    """All rows, or the first ``k`` if a caller asks for so many."""
+    return ranked if k is None else ranked.limit(k)
+
+
 def recent_interesting_pairs(
-    cooccur: DataFrame, as_of: datetime, days: int = 4, k: int = 50
+    cooccur: DataFrame, as_of: datetime, days: int = 4, k: int | None = None
 ) -> DataFrame:
     """Pairs of the last days by their best score, with the count of that run."""
     recent = cooccur.where(times.is_recent(F.col("ts"), as_of, days))
     best = F.max(F.struct("log_weight", "count")).alias("best")
     pairs = recent.groupBy("w1", "w2").agg(best).select("w1", "w2", "best.log_weight", "best.count")
-    return pairs.orderBy(F.desc(scores.rank_key(F.col("log_weight"))), "w1", "w2").limit(k)
+    return _first(pairs.orderBy(F.desc(scores.rank_key(F.col("log_weight"))), "w1", "w2"), k)
 
 
 def emerging_pairs(cooccur: DataFrame, as_of: datetime, days: int = 1) -> DataFrame:
@@ -38,17 +43,17 @@ def emerging_pairs(cooccur: DataFrame, as_of: datetime, days: int = 1) -> DataFr
 
 
 def popular_words_in_period(
-    word_counts: DataFrame, start: datetime, end: datetime, k: int = 50
+    word_counts: DataFrame, start: datetime, end: datetime, k: int | None = None
 ) -> DataFrame:
     period = word_counts.where(F.col("ts").between(times.ntz(start), times.ntz(end)))
     best = period.groupBy("word").agg(F.max("percent").alias("percent"))
-    return best.orderBy(F.desc("percent"), "word").limit(k)
+    return _first(best.orderBy(F.desc("percent"), "word"), k)
 
 
-def top_urls_recent(urls: DataFrame, as_of: datetime, days: int = 4, k: int = 50) -> DataFrame:
+def top_urls_recent(urls: DataFrame, as_of: datetime, days: int = 4, k: int | None = None) -> DataFrame:
     recent = urls.where(times.is_recent(F.col("ts"), as_of, days))
     best = recent.groupBy("url").agg(F.max("count").alias("count"))
-    return best.orderBy(F.desc("count"), "url").limit(k)
+    return _first(best.orderBy(F.desc("count"), "url"), k)
 
 
 def pair_trend(cooccur: DataFrame) -> DataFrame:

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chirplens.config import ReportConfig
-from chirplens.functions.times import ntz
+from chirplens.functions.times import ntz, parse_as_of
 from chirplens.operators import urls, words
-from chirplens.operators.filters import filter_as_of, global_count
+from chirplens.operators.filters import filter_as_of, filter_recent, global_count
 from chirplens.operators.top_pairs import top_pairs_of_lists, top_pairs_per_run, word_lists
 from chirplens.operators.windows import as_one_run
 from chirplens.sources.tables import append_result
+from chirplens.streaming.ingest import read_store
 
 
 def word_counts_report(posts: DataFrame, cfg: ReportConfig) -> DataFrame:
@@ -40,7 +41,7 @@ def build_report(posts: DataFrame, cfg: ReportConfig) -> dict[str, DataFrame]:
 
 
 def run_report(posts: DataFrame, cfg: ReportConfig, target: str) -> None:
-    """Builds the three tables and appends each under ``target``.
+    """Builds the three tables and puts each under ``target``; a run done again replaces itself.
 
     The same tables as ``build_report``; texts are read and cut into words once for both word
     tables.
@@ -64,6 +65,15 @@ def run_report(posts: DataFrame, cfg: ReportConfig, target: str) -> None:
         lists.unpersist()
 
 
+def report_from_store(
+    spark: SparkSession, store: str, base: str | None, timestamp: str, target: str
+) -> None:
+    """The report at a time given as text, over what the ingest has stored."""
+    cfg = ReportConfig(as_of=parse_as_of(timestamp))
+    posts = filter_recent(read_store(spark, store, base), cfg.as_of, cfg.days)
+    run_report(posts, cfg, target)
+
+
 def _word_table(doc_freq: DataFrame, total: DataFrame, cfg: ReportConfig) -> DataFrame:
     top = words.top_words(doc_freq, total, cfg.top_words)
     return top.select("word", "percent", ntz(cfg.as_of).alias("ts"))

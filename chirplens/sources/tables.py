@@ -5,48 +5,72 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chirplens.operators.filters import filter_recent
 from chirplens.schemas import RESULT_TABLES, TWEET
 
 
-# Below this size a table often comes as one file with one row group, that is, as one task.
-SMALL_TABLE_BYTES = 1 << 30
+def spread(frame: DataFrame, partitions: int | None) -> DataFrame:
+    """``frame`` dealt out evenly over so many partitions, or as it was read."""
+    return frame if partitions is None else frame.repartition(partitions)
 
 
-def spread_if_small(frame: DataFrame, table: DataFrame) -> DataFrame:
-    """``frame``, which is read from ``table``, dealt out over the cores if the table is small.
+def read_posts(
+    spark: SparkSession,
+    path: str,
+    as_of: datetime | None = None,
+    days: int = 4,
+    partitions: int | None = None,
+) -> DataFrame:
+    """The stored posts; with ``as_of`` only those of the last ``days``, filtered in the scan.
 
-    The shuffle is bounded by ``SMALL_TABLE_BYTES``; a larger table fills the cores with its own
-    scan splits and is not shuffled.  Filters and column choices made later still move below
-    this and into the scan.
+    ``partitions`` is for tables of few large files: one shuffle of what is left.  The filter
+    is below it.
     """
-    size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if size > SMALL_TABLE_BYTES:
-        return frame
-    return frame.repartition(frame.sparkSession.sparkContext.defaultParallelism)
+    posts = spark.read.schema(TWEET).parquet(path)
+    return spread(posts if as_of is None else filter_recent(posts, as_of, days), partitions)
 
 
-def read_posts(
-    spark: SparkSession, path: str, as_of: datetime | None = None, days: int = 4
-) -> DataFrame:
-    """The stored posts; with ``as_of`` only those of the last ``days``, filtered in the scan."""
-    stored = spark.read.schema(TWEET).parquet(path)
-    posts = spread_if_small(stored, stored)
-    return posts if as_of is None else filter_recent(posts, as_of, days)
+# Name of the partition column of result tables, and its form: sorts like ``ts``.
+RUN = "run"
+_RUN_FORMAT = "yyyyMMdd'T'HHmmss'_'SSSSSS"
+
+
+def run_name(ts: datetime) -> str:
+    return ts.strftime("%Y%m%dT%H%M%S_%f")
 
 
 def append_result(frame: DataFrame, name: str, path: str) -> None:
-    """Appends to result table ``name``, which is created if absent.
+    """Puts runs into result table ``name``, which is created if absent.
 
-    Columns must be those declared, in name and type; they are written in declared order.
+    The table has one partition per run.  Runs that are in ``frame`` replace themselves, so a
+    retried report leaves no rows twice; all other runs stay.  Columns must be those declared,
+    in name and type; they are written in declared order.
     """
     schema = RESULT_TABLES[name]
     have = {f.name: f.dataType for f in frame.schema}
     if have != {f.name: f.dataType for f in schema}:
         raise ValueError(f"{name}: {frame.schema.simpleString()} is not {schema.simpleString()}")
-    frame.select(*schema.names).write.mode("append").parquet(path)
+    rows = frame.select(*schema.names, F.date_format("ts", _RUN_FORMAT).alias(RUN))
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(RUN).parquet(path)
 
 
-def read_result(spark: SparkSession, name: str, path: str) -> DataFrame:
-    return spark.read.schema(RESULT_TABLES[name]).parquet(path)
+def read_result(
+    spark: SparkSession,
+    name: str,
+    path: str,
+    after: datetime | None = None,
+    until: datetime | None = None,
+) -> DataFrame:
+    """A result table; with bounds only the runs ``after < ts <= until``, other partitions are
+    not read."""
+    schema = T.StructType([*RESULT_TABLES[name].fields, T.StructField(RUN, T.StringType())])
+    runs = spark.read.schema(schema).parquet(path)
+    if after is not None:
+        runs = runs.where(F.col(RUN) > run_name(after))
+    if until is not None:
+        runs = runs.where(F.col(RUN) <= run_name(until))
+    return runs.drop(RUN)

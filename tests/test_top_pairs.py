@@ -10,7 +10,7 @@ from chirplens.config import RunGrid
 from chirplens.operators import filters, pairs, words
 from chirplens.operators.lookup import lookup
 from chirplens.operators.top_pairs import top_pairs_per_run
-from chirplens.operators.windows import as_one_run, with_span
+from chirplens.operators.windows import as_one_run, top_per_run, with_span
 from tests import brute
 
 NOON = datetime(2024, 5, 1, 12)
@@ -120,6 +120,63 @@ def test_lookup_ways_agree(spark):
         F.col("id").alias("k"), (1 / (F.col("id") + 1)).alias("weight")
     )
     want = sorted(facts.join(dictionary, "k").collect())
-    for fits, heavy in ((True, 0), (False, 1), (False, 5), (False, 1000)):
-        got = lookup(facts, dictionary, ["k"], "weight", fits, heavy)
+    for fits in (True, False):
+        got = lookup(facts, dictionary, ["k"], fits)
         assert sorted(got.select("k", "id", "weight").collect()) == want
+
+
+def test_lookup_reads_facts_once_and_splits_a_long_hot_key(spark, tmp_path):
+    """A key of 2,000 bytes in half of all facts."""
+    hot = "h" * 2000
+    key = F.when(F.col("id") % 2 == 0, F.lit(hot)).otherwise((F.col("id") % 501).cast("string"))
+    # Text that does not shrink, so that the hot partition is large.
+    rows = spark.range(0, 40_000, 1, 8).select(key.alias("k"), F.sha2(F.col("id").cast("string"), 512).alias("pay"))
+    rows.write.parquet(str(tmp_path / "facts"))
+    facts = spark.read.parquet(str(tmp_path / "facts"))
+    dictionary = facts.select("k").distinct().withColumn("weight", F.length("k"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        joined = lookup(facts, dictionary, ["k"], fits=False)
+        assert joined.count() == 40_000
+        joined.collect()
+        text = joined._jdf.queryExecution().executedPlan().toString()
+        assert text.count("SortMergeJoin") >= 1 and "skew=true" in text
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_a_long_text_is_spread(spark, make_posts):
+    """The pairs of one text of 3,000 words are formed by all tasks."""
+    letters = "bcdfghjklmnpqrstvwxz"
+    long = " ".join(a + b + c for a in letters for b in letters for c in letters[:8])
+    posts = make_posts([(1, long, NOON, None), (2, "one two", NOON, None)])
+    n = len(long.split())
+    rows = pairs.word_pairs(posts).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    sizes = [r["count"] for r in rows]
+    assert sum(sizes) == n * (n - 1) // 2 + 1
+    assert len(sizes) >= 8 and max(sizes) < 2 * sum(sizes) / len(sizes)
+    counts = pairs.pair_counts(posts)
+    assert counts.count() == n * (n - 1) // 2 + 1 and counts.where("count > 1").isEmpty()
+
+
+@pytest.mark.parametrize("k", [3, 5000])
+def test_rank_in_parts(spark, k):
+    """More rows per run than Spark's own limit reaches: parts are cut before they meet."""
+    rows = spark.range(30_000).select((F.col("id") % 2).alias("run"), F.col("id"), (F.col("id") * 7919 % 10_007).alias("v"))
+    got = top_per_run(rows, k, F.desc("v"), "id")
+    want = {}
+    for r in rows.collect():
+        want.setdefault(r.run, []).append((-r.v, r.id))
+    found = {(r.run, r.rank, r.id) for r in got.collect()}
+    assert found == {(run, i, x[1]) for run, all_ in want.items() for i, x in enumerate(sorted(all_)[:k], 1)}
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert text.count("row_number") >= 2
