@@ -35,6 +35,9 @@ class ReportConfig:
     top_pairs: int = 300
 
 
+MOST_RUNS = 50_000
+
+
 @dataclass(frozen=True)
 class RunGrid:
     """Evenly spaced report times, the last one at ``end``: one job instead of many runs."""
@@ -44,6 +47,11 @@ class RunGrid:
     runs: int
     days: int = 4
 
+    def __post_init__(self) -> None:
+        # Frames of one row per run are broadcast.
+        if not 0 < self.runs <= MOST_RUNS:
+            raise ValueError(f"a grid has from 1 to {MOST_RUNS} runs")
+
     @property
     def start(self) -> datetime:
         return self.end - self.step * (self.runs - 1)

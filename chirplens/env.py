@@ -17,6 +17,7 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")
         .getOrCreate()
@@ -41,6 +42,10 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Compute ``df`` now, keep it in the shared folder and cut its lineage."""
+    """Compute ``df`` now, keep it in the shared folder and cut its lineage.
+
+    With ``spark.cleaner.referenceTracking.cleanCheckpoints`` Spark deletes the files when the
+    frame is no longer referenced; a cluster's session should set it.
+    """
     use_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -88,7 +88,10 @@ def _search(lists: DataFrame, k: int, probe_words: int, broadcast_bytes: int) ->
     counted = _probe_counts(lists, taken) if small else _wanted_counts(lists, taken, small)
     found = checkpointed(_rank(counted, taken, k, small))
 
-    floors = _floors(probe, found, probe_words, k)
+    floors = checkpointed(_floors(probe, found, probe_words, k))
+    if not floors.where("starved").isEmpty():
+        # So few words that a run lacks k pairs: take more before taking all.
+        return _search(lists, k, probe_words * 8, broadcast_bytes)
     open_runs = floors.where("next_bound >= floor")
     if open_runs.isEmpty():
         return found
@@ -165,8 +168,9 @@ def _rank(counts: DataFrame, words: DataFrame, k: int, fits: bool) -> DataFrame:
 
 
 def _floors(probe: DataFrame, found: DataFrame, probe_words: int, k: int) -> DataFrame:
-    """``(run, next_bound, floor)`` for runs that have words left out: the highest bound among
-    those words, and the score that a pair must reach.  Without ``k`` pairs any score does.
+    """``(run, next_bound, floor, starved)`` for runs that have words left out: the highest bound
+    among those words, and the score that a pair must reach.  Without ``k`` pairs any score does,
+    and the run is starved.
 
     The floor is lowered a little, so that rounding never drops a tie.
     """
@@ -176,5 +180,5 @@ def _floors(probe: DataFrame, found: DataFrame, probe_words: int, k: int) -> Dat
         probe.where(F.col("rank") == probe_words + 1)
         .select("run", F.col("bound").alias("next_bound"))
         .join(F.broadcast(kth), "run", "left")
-        .select("run", "next_bound", floor.alias("floor"))
+        .select("run", "next_bound", floor.alias("floor"), F.col("kth").isNull().alias("starved"))
     )

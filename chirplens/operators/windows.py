@@ -50,6 +50,10 @@ def per_run(frame: DataFrame) -> DataFrame:
     return frame.select(F.explode(F.sequence("first", "last")).alias("run"), *others)
 
 
+def _runs(span: list[str]) -> Column:
+    return F.array("run") if span == ["run"] else F.sequence(*span)
+
+
 def count_per_run(rows: DataFrame, keys: list[str], weight: str | None = None) -> DataFrame:
     """``(run, *keys, count)``; a row counts once, or ``weight`` times.
 
@@ -122,8 +126,13 @@ def most_frequent_per_run(
         lowest = floors.agg(F.min("floor")).first()[0]
         if keys["left_out"] < lowest:
             return found
+        # What a key needs is set by the runs that see its rows, not by the thinnest of all.
+        seen = counts.select(*span).distinct().withColumn("_run", F.explode(_runs(span)))
+        needs = seen.join(F.broadcast(floors.withColumnRenamed("run", "_run")), "_run")
+        needs = needs.groupBy(*span).agg(F.min("floor").alias("need"))
         # A key has at most one row per span, so no key of this join is hot.
         wanted = counts.join(totals.where(F.col("overall") >= lowest).hint("merge"), key)
+        wanted = wanted.join(needs, span).where("overall >= need").drop("need")
         reach = per_run(wanted).join(F.broadcast(floors), "run").where("overall >= floor")
         return checkpointed(_rank_counts(reach, key, k))
     finally:

@@ -133,7 +133,9 @@ def test_lookup_reads_facts_once_and_splits_a_long_hot_key(spark, tmp_path):
     rows = spark.range(0, 40_000, 1, 8).select(key.alias("k"), F.sha2(F.col("id").cast("string"), 512).alias("pay"))
     rows.write.parquet(str(tmp_path / "facts"))
     facts = spark.read.parquet(str(tmp_path / "facts"))
-    dictionary = facts.select("k").distinct().withColumn("weight", F.length("k"))
+    words = facts.select("k").distinct().withColumn("weight", F.length("k"))
+    words.write.parquet(str(tmp_path / "words"))
+    dictionary = spark.read.parquet(str(tmp_path / "words"))
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
@@ -148,7 +150,8 @@ def test_lookup_reads_facts_once_and_splits_a_long_hot_key(spark, tmp_path):
         assert joined.count() == 40_000
         joined.collect()
         text = joined._jdf.queryExecution().executedPlan().toString()
-        assert text.count("SortMergeJoin") >= 1 and "skew=true" in text
+        assert "SortMergeJoin(skew=true)" in text
+        assert text.split("Initial Plan")[0].count(f"{tmp_path}/facts") == 1
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
