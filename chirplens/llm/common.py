@@ -15,6 +15,9 @@ BROADCAST_BYTES = 32 << 20
 # What a task keeps of the words it has seen, so that memory is bounded for any vocabulary.
 CACHED_WORDS = 300_000
 
+# Texts go to Python in batches of at most so many bytes (and one text).
+BATCH_BYTES = 8 << 20
+
 # The separators of words, as one character class.
 SPACE = r"\x20\x09-\x0D"
 
@@ -23,6 +26,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bounds the memory of Python workers by the bytes of a batch, not by its rows.
+
+    A session setting, lowered and never raised.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).lower().rstrip("b")
+    if not (now.isdigit() and 0 < int(now) <= BATCH_BYTES):
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def has_rows(frame: DataFrame) -> bool:
     return bool(frame.take(1))
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chirplens.llm.common import bound_batches
 
 # Edits allowed per letter of an item.
 ERROR_RATE = 0.05
@@ -158,6 +159,7 @@ def find_leaks(
         ]
     )
     spark = docs.sparkSession
+    bound_batches(spark)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     result = None
     for items in _blocks(benchmark, item_col, item_text_col):
@@ -210,6 +212,7 @@ def drop_leaks(
     The texts meet the items in place, one filter per block of items, and are not shuffled.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     for items in _blocks(benchmark, "item_id", "text"):
         shared = spark.sparkContext.broadcast(items)
         docs = docs.where(_clean(F.col(text_col), shared, rate))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chirplens.env import checkpointed
-from chirplens.llm.common import BROADCAST_BYTES, components, has_rows, join_ids, same
+from chirplens.llm.common import BROADCAST_BYTES, bound_batches, components, has_rows, join_ids, same
 from chirplens.llm.shingles import WordHashes, mixed, set_key, shingle_set
 
 # Bands of so many coordinates.  A pair of similarity 0.80 shares no band with probability
@@ -215,6 +215,7 @@ def near_duplicates(
     without an id belong to a class like others; NULL is a component's id only if no member
     has an id.  An empty table gives an empty result.  Other columns are ignored.
     """
+    bound_batches(docs.sparkSession)
     features = _features(docs, id_col, text_col, bands, rows)
     features = checkpointed(features.withColumn("rid", F.monotonically_increasing_id()))
     full = features.where("n_shingles > 0")

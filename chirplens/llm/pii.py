@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chirplens.env import checkpointed
+from chirplens.llm.common import bound_batches
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -342,6 +343,7 @@ def fit_on(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_
                     out.append((kind, " ".join(left), text[a:b], " ".join(right)))
             yield pd.DataFrame(out, columns=["kind", "l", "span", "r"])
 
+    bound_batches(docs.sparkSession)
     found = docs.select(F.col(text_col).alias("text")).mapInPandas(run, "kind string, l string, span string, r string")
     key = F.xxhash64("kind", "l", "span", "r")
     first = F.row_number().over(Window.partitionBy("kind").orderBy("key", "span"))
@@ -404,6 +406,7 @@ def find_personal_data(docs: DataFrame, model: SemiCrf, id_col: str = "doc_id",
             frame.insert(0, id_col, batch["id"].array)
             yield frame[names]
 
+    bound_batches(docs.sparkSession)
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(run, schema)
 
 

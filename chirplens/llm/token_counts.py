@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chirplens.llm.common import bound_batches
+
 # About so many bytes of unknown pre-tokens are merged together.
 BATCH_BYTES = 1 << 17
 # Letters of text looked at together, and words a task remembers.
@@ -212,6 +214,7 @@ def count_tokens(
             n = np.array(counter.counts(list(batch["text"])), np.int64)
             yield pd.DataFrame({id_col: batch["id"], "n_bytes": batch["n_bytes"], "n_tokens": n})
 
+    bound_batches(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).alias("id"),
         F.col(text_col).alias("text"),

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chirplens.env import checkpointed
-from chirplens.llm.common import CACHED_WORDS
+from chirplens.llm.common import CACHED_WORDS, bound_batches
 
 # Labelled rows used to fit, at most, of each label; features of the model, at most.
 SAMPLE_PER_LABEL = 12_000
@@ -252,6 +252,7 @@ def fit(
     and 1 are ignored, several labels of one id count as toxic if any is.  Without rows of both
     labels the model scores everything 0.
     """
+    bound_batches(docs.sparkSession)
     sample = training_sample(docs, labels, id_col, text_col, per_label)
     names = select_features(sample, features)
     if not names:
@@ -274,6 +275,7 @@ def with_score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", na
     NULL and empty texts get the score of a text without words; every text is read whole.  The
     model, of a bounded number of weights, is sent with the tasks.
     """
+    bound_batches(docs.sparkSession)
     numbers = {f: i for i, f in enumerate(model.weights)}
 
     @F.pandas_udf("double")
