@@ -13,10 +13,10 @@ from chirplens.env import checkpointed, use_checkpoint_dir
 BROADCAST_BYTES = 32 << 20
 
 # What a task keeps of the words it has seen, so that memory is bounded for any vocabulary.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 80_000
 
 # Texts go to Python in batches of at most so many bytes (and one text).
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 # The separators of words, as one character class.
 SPACE = r"\x20\x09-\x0D"

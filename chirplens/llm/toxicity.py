@@ -24,7 +24,7 @@ from chirplens.llm.common import CACHED_WORDS, bound_batches
 SAMPLE_PER_LABEL = 12_000
 FEATURES = 4_096
 MIN_SUPPORT = 5
-MOST_COUNTED = 400_000
+MOST_COUNTED = 80_000
 
 # Terms that name groups of people, by kind; a term is swapped for the next of its kind.
 IDENTITY = (
