@@ -350,6 +350,52 @@ def test_edited_passage():
     assert substring_dedup.without_words("a  b\tc d", [(1, 3)]) == "a   d"
 
 
+def test_edits_at_every_place_of_a_passage():
+    rng = random.Random(7)
+    hashed = lambda t: shingle_hashes(word_hashes(" ".join(t), WordHashes()))
+    tried = 0
+    for size in (55, 60, 72, 100):
+        for at in range(size):
+            p = vocabulary(rng, size)
+            for q in (p[:at] + ["new"] + p[at + 1 :], p[:at] + ["new"] + p[at:], p[:at] + p[at + 1 :]):
+                a, b = hashed(p), hashed(q)
+                both = len(np.intersect1d(a, b))
+                if both < 0.8 * (len(a) + len(b) - both):
+                    continue
+                tried += 1
+                x = hashed(vocabulary(rng, 40) + p + vocabulary(rng, 30))
+                y = hashed(vocabulary(rng, 20) + q + vocabulary(rng, 50))
+                found = substring_dedup.passages(x, y, 46, 80)
+                assert found, (size, at)
+                for i, j, u, v, s in found:
+                    same = len(np.intersect1d(x[i:j], y[u:v]))
+                    assert min(j - i, v - u) >= 46
+                    assert s == same / (len(np.unique(x[i:j])) + len(np.unique(y[u:v])) - same) >= 0.8
+    assert tried > 500
+
+
+@pytest.mark.parametrize("percent", [60, 80])
+def test_passages_are_found_where_there_are_any(percent):
+    rng, least, some = random.Random(8), 5, 0
+
+    def like(u, v):
+        return 100 * len(u & v) >= percent * len(u | v)
+
+    for _ in range(300):
+        # Every shingle once in a text, as in prose, with the order partly broken.
+        x = rng.sample(range(16), rng.randint(5, 12))
+        y = rng.sample(range(40, 60), 2) + [v if rng.random() < 0.8 else 100 + v for v in x]
+        if rng.random() < 0.5:
+            y[3:6] = y[5:2:-1]
+        stretches = lambda t: [set(t[i:j]) for i in range(len(t)) for j in range(i + least, len(t) + 1)]
+        expected = any(like(u, v) for u in stretches(x) for v in stretches(y))
+        found = substring_dedup.passages(np.array(x, np.uint64), np.array(y, np.uint64), least, percent)
+        assert bool(found) == expected, (x, y)
+        some += expected
+    assert 30 < some < 290
+
+
+
 # --- tokens --------------------------------------------------------------------------------
 
 
