@@ -16,6 +16,7 @@ from chirplens.llm import (
     substring_dedup,
     token_counts,
     toxicity,
+    url_filter,
 )
 from chirplens.llm.common import table
 
@@ -95,6 +96,16 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, folder, "documents"), percent=85)
 
 
+# The rules of the query, as a list would have them.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def op12_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    judged = url_filter.judge_urls(pages, [url_filter.parse_rule(*r) for r in URL_RULES])
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_shards": op2_shards,
@@ -106,6 +117,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op12_url_filter": op12_url_filter,
 }
 
 # The level is found by trying, in the order in which sources reach their cap, how many are full.
@@ -148,4 +160,23 @@ SELECT doc_id, max(doc_id) OVER own AS keep_id, count(*) OVER own AS group_size,
 FROM texts WINDOW own AS (PARTITION BY sha)
 """
 
-ORACLE_SQL = {"op1_mix": _OP1_SQL, "op5_exact_dedup": _OP5_SQL}
+_RULE_ROWS = ", ".join(f"('{v}', '{r.split('/')[0]}', '/{r.split('/', 1)[1]}')" for v, r in URL_RULES)
+
+_OP12_SQL = rf"""
+WITH rules(verdict, host, path) AS (VALUES {_RULE_ROWS}),
+after AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+parts AS (
+  SELECT page_id,
+         translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path
+  FROM after)
+SELECT p.page_id, p.host, p.path, r.host || r.path AS rule, coalesce(r.verdict, 'allow') AS verdict
+FROM parts p LEFT JOIN rules r
+  ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+QUALIFY row_number() OVER (PARTITION BY p.page_id
+  ORDER BY length(r.host) - length(replace(r.host, '.', '')) DESC NULLS LAST, length(r.path) DESC) = 1
+"""
+
+ORACLE_SQL = {"op1_mix": _OP1_SQL, "op5_exact_dedup": _OP5_SQL, "op12_url_filter": _OP12_SQL}
