@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from chirplens.llm import (
     decontaminate,
     exact_dedup,
+    hard_negatives,
     html_text,
     mixing,
     near_dedup,
@@ -106,6 +107,12 @@ def op12_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.integer_vectors(table(spark, folder, "embeddings"), "vec_id", label, "embedding")
+    return hard_negatives.mine_hard_negatives(rows, F.col("id") % 100 == 0)
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_shards": op2_shards,
@@ -118,6 +125,7 @@ QUERIES = {
     "op9_repeated_passages": op9_repeated_passages,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op12_url_filter": op12_url_filter,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 # The level is found by trying, in the order in which sources reach their cap, how many are full.
@@ -179,4 +187,31 @@ QUALIFY row_number() OVER (PARTITION BY p.page_id
   ORDER BY length(r.host) - length(replace(r.host, '.', '')) DESC NULLS LAST, length(r.path) DESC) = 1
 """
 
-ORACLE_SQL = {"op1_mix": _OP1_SQL, "op5_exact_dedup": _OP5_SQL, "op12_url_filter": _OP12_SQL}
+_OP13_SQL = """
+WITH vecs AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+         list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM vecs a JOIN vecs b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other)::INTEGER AS rank,
+       s.other AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+QUALIFY rank <= 10
+"""
+
+ORACLE_SQL = {
+    "op1_mix": _OP1_SQL,
+    "op5_exact_dedup": _OP5_SQL,
+    "op12_url_filter": _OP12_SQL,
+    "op13_hard_negatives": _OP13_SQL,
+}

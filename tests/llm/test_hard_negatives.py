@@ -1,0 +1,135 @@
+"""Hard negatives against comparing every two rows."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from chirplens.llm import hard_negatives
+from chirplens.llm.hard_negatives import Chunk, Windows, above, integer_vectors, mine_hard_negatives, tail_norms
+
+
+def brute(rows, is_anchor, positives=5, negatives=10, low=30, high=90):
+    rows = [
+        (i, label, [math.floor(256 * x) for x in v])
+        for i, label, v in rows
+        if None not in (i, label, v) and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    rows = [r for r in rows if sum(x * x for x in r[2]) < 2**62]
+    out = []
+    for i in {r[0] for r in rows if is_anchor(r[0])}:
+        _, label, own = min(r for r in rows if r[0] == i)
+        scored = sorted(
+            (-sum(x * y for x, y in zip(own, v)), j, other) for j, other, v in rows if j != i
+        )
+        same = [(j, -s) for s, j, other in scored if other == label][:positives]
+        for j, p in dict.fromkeys(same):
+            near = [(-s, k) for s, k, other in scored if other != label and low * p <= -100 * s <= high * p]
+            out += [(i, j, r, k, p, n) for r, (n, k) in enumerate(near[:negatives], 1)]
+    return sorted(out)
+
+
+def cloud(rng, n, width, spread=1.0, tail=1.0):
+    """Unit vectors round a few centres, dimensions of falling weight."""
+    weight = tail ** np.arange(width)
+    centres = rng.normal(size=(6, width)) * weight
+    found = centres[rng.integers(0, 6, n)] + spread * rng.normal(size=(n, width)) * weight
+    return found / np.linalg.norm(found, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("least", [-1e9, 0.0, 5000.0, 40_000.0, 60_000.0, 1e9])
+@pytest.mark.parametrize("tail", [1.0, 0.9])
+def test_above_finds_all(least, tail):
+    rng = np.random.default_rng(3)
+    vectors = np.floor(256 * cloud(rng, 300, 30, 0.4, tail))
+    anchors = np.floor(256 * cloud(rng, 20, 37, 0.4, tail))
+    anchors[3] = 0
+    chunk = Chunk(np.arange(300), np.zeros(300, np.int64), vectors)
+    floor = np.full(20, least) + np.arange(20) * 10
+    i, j, score = above(chunk, anchors, tail_norms(anchors), floor)
+    whole = (anchors[:, :30] @ vectors.T).astype(np.int64)
+    want = {(a, b): whole[a, b] for a, b in zip(*np.nonzero(whole >= floor[:, None]))}
+    assert dict(zip(zip(i.tolist(), j.tolist()), score.tolist())) == want
+
+
+def test_index_omits_dimensions(monkeypatch):
+    """With a high threshold and light tails, scores are finished for few pairs only."""
+    rng = np.random.default_rng(4)
+    vectors = np.floor(256 * cloud(rng, 2000, 64, 0.5, 0.9))
+    chunk = Chunk(np.arange(2000), np.zeros(2000, np.int64), vectors)
+    need = (chunk.tails[:8] >= 0.9 * 256).sum(axis=0)
+    assert need.mean() < 2
+    i, j, _ = above(chunk, vectors[:50], tail_norms(vectors[:50]), np.full(50, 0.9 * 256 * 256))
+    whole = vectors[:50] @ vectors.T
+    assert len(i) == (whole >= 0.9 * 256 * 256).sum()
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_windows_over_chunks(same):
+    rng = np.random.default_rng(5)
+    vectors = np.floor(256 * cloud(rng, 900, 24, 0.7))
+    vectors[400:500] = vectors[0]
+    labels = rng.integers(0, 3, 900)
+    ids = rng.permutation(900)
+    low = rng.integers(-20_000, 30_000, (40, 3))
+    high = low + rng.integers(-5000, 30_000, (40, 3))
+    got = Windows(ids[:40], labels[:40], vectors[:40], low, high, 7, same)
+    for s in range(0, 900, 130):
+        part = slice(s, s + 130)
+        got.meet(Chunk(ids[part], labels[part], vectors[part]))
+    whole = (vectors[:40] @ vectors.T).astype(np.int64)
+    want = set()
+    for a in range(40):
+        for w in range(3):
+            fit = [
+                (-whole[a, b], ids[b])
+                for b in range(900)
+                if (labels[b] == labels[a]) == same and b != a and low[a, w] <= whole[a, b] <= high[a, w]
+            ]
+            want |= {(a, int(i), int(-s)) for s, i in sorted(fit)[:7]}
+    assert set(zip(got.anchor.tolist(), got.row.tolist(), got.score.tolist())) == want
+
+
+def sample():
+    rng = np.random.default_rng(13)
+    plain = cloud(rng, 700, 16, 0.5)
+    rows = [(int(i), int(rng.integers(0, 4)), [float(x) for x in v]) for i, v in enumerate(plain)]
+    rows += [(i + 1000, i % 4, rows[5][2]) for i in range(60)]
+    rows += [(2000, 1, []), (2010, 2, [0.5] * 40), (2020, 3, [0.0] * 16), (-20, 1, rows[7][2])]
+    rows += [(2001, None, [1.0]), (2002, 1, None), (2003, 1, [1.0, None]), (2004, 1, [float("nan")])]
+    rows += [(2040, 1, [float("inf")]), (2050, 1, [1e300, 1.0]), (None, 1, [1.0] * 16)]
+    rows += [rows[11], rows[20], rows[20]]
+    return rows
+
+
+@pytest.mark.parametrize("most", [hard_negatives.BLOCK_BYTES, 0])
+def test_mined(spark, monkeypatch, most):
+    monkeypatch.setattr(hard_negatives, "CHUNK_ROWS", 64)
+    monkeypatch.setattr(hard_negatives, "BLOCK_ANCHORS", 9)
+    monkeypatch.setattr(hard_negatives, "GROUP_BLOCKS", 2)
+    monkeypatch.setattr(hard_negatives, "GROUP_CHUNKS", 3)
+    monkeypatch.setattr(hard_negatives, "BLOCK_BYTES", most)
+    rows = sample()
+    random.Random(1).shuffle(rows)
+    frame = spark.createDataFrame(rows, "vec_id long, label int, vec array<double>").repartition(4)
+    frame = frame.withColumns({c: F.lit("own") for c in ("id", "v", "chunk", "anchor", "score")})
+    ready = integer_vectors(frame, "vec_id", F.col("label"), "vec")
+    got = sorted(tuple(r) for r in mine_hard_negatives(ready, F.col("id") % 10 == 0).collect())
+    assert got == brute(rows, lambda i: i % 10 == 0) and len(got) > 1000
+    assert mine_hard_negatives(ready.where("false"), F.lit(True)).count() == 0
+    assert mine_hard_negatives(ready, F.lit(False)).count() == 0
+
+
+def test_scores_that_no_double_holds():
+    big = float(2**30 + 1)
+    chunk = Chunk(np.arange(3), np.zeros(3, np.int64), np.array([[big, 1], [big, 2], [big, 3]]))
+    anchors = np.array([[big, 1.0]])
+    assert above(chunk, anchors, tail_norms(anchors), np.array([0.0]))[2].tolist() == [
+        int(big) ** 2 + k for k in (1, 2, 3)
+    ]
+    bound = np.array([[int(big) ** 2 + 2]])
+    got = Windows(np.array([9]), np.array([1]), anchors, bound, bound, 5, False)
+    got.meet(chunk)
+    assert got.row.tolist() == [1]
