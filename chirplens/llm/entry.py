@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chirplens.llm import (
+    collocations,
     decontaminate,
     exact_dedup,
     hard_negatives,
@@ -97,6 +98,10 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, folder, "documents"), percent=85)
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 # The rules of the query, as a list would have them.
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
@@ -124,6 +129,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_collocations": op11_collocations,
     "op12_url_filter": op12_url_filter,
     "op13_hard_negatives": op13_hard_negatives,
 }
@@ -168,6 +174,49 @@ SELECT doc_id, max(doc_id) OVER own AS keep_id, count(*) OVER own AS group_size,
 FROM texts WINDOW own AS (PARTITION BY sha)
 """
 
+_OP11_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+lists AS (
+  SELECT row_number() OVER () AS pid, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM lists GROUP BY lang),
+words AS (SELECT pid, lang, unnest(w) AS w1, generate_subscripts(w, 1) AS pos FROM lists),
+rows AS (
+  SELECT lang, w1, lead(w1, 1) OVER p AS w2, lead(w1, 2) OVER p AS w3, lead(w1, 3) OVER p AS w4
+  FROM words WINDOW p AS (PARTITION BY pid ORDER BY pos)),
+counts AS (
+  SELECT lang, [w1] AS g, count(*) AS f FROM rows GROUP BY lang, w1 HAVING f >= 30
+  UNION ALL
+  SELECT lang, [w1, w2], count(*) AS f FROM rows WHERE w2 IS NOT NULL GROUP BY lang, w1, w2 HAVING f >= 30
+  UNION ALL
+  SELECT lang, [w1, w2, w3], count(*) AS f FROM rows WHERE w3 IS NOT NULL
+  GROUP BY lang, w1, w2, w3 HAVING f >= 30
+  UNION ALL
+  SELECT lang, [w1, w2, w3, w4], count(*) AS f FROM rows WHERE w4 IS NOT NULL
+  GROUP BY lang, w1, w2, w3, w4 HAVING f >= 30),
+longer AS (
+  SELECT c.lang, c.g[s.s:s.s + m.m - 1] AS g, max(c.f) AS f
+  FROM counts c JOIN (VALUES (2), (3)) m(m) ON m.m < len(c.g)
+  JOIN (VALUES (1), (2), (3)) s(s) ON s.s + m.m - 1 <= len(c.g)
+  GROUP BY ALL),
+cuts AS (
+  SELECT c.lang, c.g, c.f AS a, l.f AS l, r.f AS r, t.k, (2000000 * c.f) // (l.f + r.f) AS score
+  FROM counts c JOIN (VALUES (1), (2), (3)) t(k) ON t.k < len(c.g)
+  JOIN counts l ON l.lang = c.lang AND l.g = c.g[1:t.k]
+  JOIN counts r ON r.lang = c.lang AND r.g = c.g[t.k + 1:len(c.g)]
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.g ORDER BY score, t.k) = 1),
+kept AS (
+  SELECT c.*, array_to_string(c.g, ' ') AS phrase
+  FROM cuts c LEFT JOIN longer o USING (lang, g) WHERE o.f IS NULL OR 100 * o.f < 80 * c.a)
+SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       k.phrase, k.a, k.l, k.r, t.n, k.score::BIGINT AS score
+FROM kept k JOIN totals t USING (lang) QUALIFY rank <= 2000
+"""
+
 _RULE_ROWS = ", ".join(f"('{v}', '{r.split('/')[0]}', '/{r.split('/', 1)[1]}')" for v, r in URL_RULES)
 
 _OP12_SQL = rf"""
@@ -190,10 +239,10 @@ QUALIFY row_number() OVER (PARTITION BY p.page_id
 _OP13_SQL = """
 WITH vecs AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-         list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scores AS (
   SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
          list_dot_product(a.v, b.v)::BIGINT AS score
@@ -212,6 +261,7 @@ QUALIFY rank <= 10
 ORACLE_SQL = {
     "op1_mix": _OP1_SQL,
     "op5_exact_dedup": _OP5_SQL,
+    "op11_collocations": _OP11_SQL,
     "op12_url_filter": _OP12_SQL,
     "op13_hard_negatives": _OP13_SQL,
 }

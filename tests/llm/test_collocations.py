@@ -1,0 +1,119 @@
+"""Collocations against counting every phrase of every piece."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from chirplens.llm import collocations as module
+from chirplens.llm.collocations import _largest, _passed_on, collocations
+
+
+def brute(rows, least, percent, most):
+    counts, totals = defaultdict(Counter), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        text = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", text):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(words)
+            for n in range(1, 5):
+                counts[lang].update(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
+    out = []
+    for lang, own in counts.items():
+        frequent = {g: a for g, a in own.items() if a >= least and len(g) > 1}
+        covered = set()
+        for g, f in frequent.items():
+            for n in range(2, len(g)):
+                for i in range(len(g) - n + 1):
+                    if 100 * f >= percent * own[g[i : i + n]]:
+                        covered.add(g[i : i + n])
+        found = []
+        for g, a in frequent.items():
+            if g not in covered:
+                cuts = [(2_000_000 * a // (own[g[:k]] + own[g[k:]]), k) for k in range(1, len(g))]
+                score, k = min(cuts)
+                found.append((-score, -a, " ".join(g).encode(), own[g[:k]], own[g[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(found)[:most], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, totals[lang], -score))
+    return sorted(out)
+
+
+def texts(seed, n=260):
+    rng = random.Random(seed)
+    vocabulary = ["a", "b", "B", "c", "d", "é", "É", "zz", "x\x01", "x", "x\x00y", "𝒳", "ﬀ", "ab", "a\x1fb", "a b"]
+    marks = [" ", " ", " ", " ", "\t", ", ", ". ", "\n", " \x0b", ";", "!", "  "]
+    rows = []
+    for _ in range(n):
+        words = rng.choices(vocabulary, [9, 8, 4, 4] + [1] * 12, k=rng.randint(0, 40))
+        text = "".join(w + rng.choice(marks) for w in words)
+        rows.append((rng.choice(["en", "en", "fr", None, "und", ""]), text))
+    rows += [("en", "new york city hall")] * 40 + [("en", "old york city")] * 8
+    rows += [("fr", "z " * 5000), ("fr", None), (None, None), ("de", ""), ("de", " \t. ")]
+    rows += [("en", "q" * 100_000 + " r"), ("es", "only once here")]
+    return rows
+
+
+@pytest.mark.parametrize("least, percent, most", [(3, 80, 2000), (8, 50, 7), (30, 80, 2000), (1, 100, 40)])
+@pytest.mark.parametrize("held", [(300_000, 3_000_000, 400_000), (5, 400, 20)])
+def test_collocations(spark, monkeypatch, least, percent, most, held):
+    for name, value in zip(("_HELD_WORDS", "_HELD_PLACES", "STREAM_ROWS"), held):
+        monkeypatch.setattr(module, name, value)
+    rows = texts(least)
+    frame = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    frame = frame.withColumns({c: F.lit("own") for c in ("word", "h", "f", "n", "h1", "l1", "key", "rank")})
+    got = sorted(tuple(r) for r in collocations(frame, least, percent, most).collect())
+    assert got == brute(rows, least, percent, most)
+
+
+def test_a_full_filter_changes_nothing(spark, monkeypatch):
+    monkeypatch.setattr(module, "_MOST_BITS_LOG2", 8)
+    monkeypatch.setattr(module, "_LEAST_BITS_LOG2", 8)
+    rows = texts(5)
+    frame = spark.createDataFrame(rows, "lang string, text string")
+    assert sorted(tuple(r) for r in collocations(frame, 2).collect()) == brute(rows, 2, 80, 2000)
+
+
+def test_hashes_are_tried_until_none_is_shared(spark, monkeypatch):
+    plain = module.word_hash
+    monkeypatch.setattr(module, "word_hash", lambda w, seed: 7 if seed < 2 else plain(w, seed))
+    frame = spark.createDataFrame([("en", "a b c a b")], "lang string, text string")
+    words, seed = module._words(frame)
+    assert seed == 2 and {(r["word"], r["f"]) for r in words.collect()} == {("a", 2), ("b", 2), ("c", 1)}
+
+
+def test_large_counts_do_not_overflow(spark):
+    wide = spark.createDataFrame([(2**62, 2**62, 2**61)], "a long, l long, r long")
+    parts = module._wide("l") + module._wide("r")
+    got = wide.select(F.call_function("div", module._wide("a") * F.lit(module.SCORE), parts)).first()[0]
+    assert got == 2_000_000 * 2**62 // (2**62 + 2**61)
+
+
+def test_empty_table(spark):
+    frame = spark.createDataFrame([], "lang string, text string")
+    assert collocations(frame).count() == 0
+
+
+def test_ranges_pass_on_what_they_know():
+    rng = random.Random(2)
+    n = np.array([1] + [rng.choice([1, 2, 3, 4]) for _ in range(60)])
+    f = np.array([rng.randint(30, 99) for _ in n])
+    cuts = sorted(rng.sample(range(1, len(n)), 9))
+    ranges = []
+    for i, (a, b) in enumerate(zip([0, *cuts], [*cuts, len(n)])):
+        own = n[a:b], f[a:b]
+        ranges.append((i, [int(module._last(*own, d, -1)[-1]) for d in (1, 2, 3)], [_largest(*own, d)[0] for d in (1, 2, 3)]))
+    before, after = _passed_on(ranges)
+    for i, (a, b) in enumerate(zip([0, *cuts], [*cuts, len(n)])):
+        for d in (1, 2, 3):
+            seen = [int(c) for k, c in zip(n[:a], f[:a]) if k == d]
+            assert before[i][d - 1] == (seen[-1] if seen else -1)
+            best = 0
+            for k, c in zip(n[b:], f[b:]):
+                if k == d:
+                    break
+                best = max(best, int(c) if k == d + 1 else 0)
+            assert after[i][d - 1] == best
