@@ -188,7 +188,7 @@ words AS (SELECT pid, lang, unnest(w) AS w1, generate_subscripts(w, 1) AS pos FR
 rows AS (
   SELECT lang, w1, lead(w1, 1) OVER p AS w2, lead(w1, 2) OVER p AS w3, lead(w1, 3) OVER p AS w4
   FROM words WINDOW p AS (PARTITION BY pid ORDER BY pos)),
-counts AS (
+counts AS MATERIALIZED (
   SELECT lang, [w1] AS g, count(*) AS f FROM rows GROUP BY lang, w1 HAVING f >= 30
   UNION ALL
   SELECT lang, [w1, w2], count(*) AS f FROM rows WHERE w2 IS NOT NULL GROUP BY lang, w1, w2 HAVING f >= 30
@@ -203,12 +203,14 @@ longer AS (
   FROM counts c JOIN (VALUES (2), (3)) m(m) ON m.m < len(c.g)
   JOIN (VALUES (1), (2), (3)) s(s) ON s.s + m.m - 1 <= len(c.g)
   GROUP BY ALL),
+parts AS MATERIALIZED (
+  SELECT c.lang, c.g, c.f, t.k, c.g[1:t.k] AS lg, c.g[t.k + 1:len(c.g)] AS rg
+  FROM counts c JOIN (VALUES (1), (2), (3)) t(k) ON t.k < len(c.g)),
 cuts AS (
-  SELECT c.lang, c.g, c.f AS a, l.f AS l, r.f AS r, t.k, (2000000 * c.f) // (l.f + r.f) AS score
-  FROM counts c JOIN (VALUES (1), (2), (3)) t(k) ON t.k < len(c.g)
-  JOIN counts l ON l.lang = c.lang AND l.g = c.g[1:t.k]
-  JOIN counts r ON r.lang = c.lang AND r.g = c.g[t.k + 1:len(c.g)]
-  QUALIFY row_number() OVER (PARTITION BY c.lang, c.g ORDER BY score, t.k) = 1),
+  SELECT p.lang, p.g, p.f AS a, l.f AS l, r.f AS r, p.k, (2000000 * p.f) // (l.f + r.f) AS score
+  FROM parts p JOIN counts l ON l.lang = p.lang AND l.g = p.lg
+  JOIN counts r ON r.lang = p.lang AND r.g = p.rg
+  QUALIFY row_number() OVER (PARTITION BY p.lang, p.g ORDER BY score, p.k) = 1),
 kept AS (
   SELECT c.*, array_to_string(c.g, ' ') AS phrase
   FROM cuts c LEFT JOIN longer o USING (lang, g) WHERE o.f IS NULL OR 100 * o.f < 80 * c.a)
