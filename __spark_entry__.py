@@ -11,6 +11,7 @@ themselves with a brute-force count on small data.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
@@ -18,18 +19,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chirplens.config import PAIR_STOPS, WORD_STOPS, ReportConfig, RunGrid
+from chirplens.env import shared_folder
 from chirplens.operators import filters, pairs, upsert, urls, words
 from chirplens.operators.top_pairs import top_pairs_per_run
 from chirplens.operators.windows import as_one_run
-from chirplens.plans import backfill, explore, report
-from chirplens.sources import sample
+from chirplens.plans import backfill, explore, report, stored
+from chirplens.sources import clustered, sample, timeline
 from chirplens.sources.feed import normalize
+from chirplens.sources.tables import read_result
 
 AS_OF = datetime(2024, 1, 30, 23, 59, 59, 500000)
 REPORT = ReportConfig(as_of=AS_OF)
 # The runs of both grids reach back far enough to see every post.
 FIVE_HOURS = RunGrid(end=AS_OF, step=timedelta(hours=5), runs=126)
 DAILY = RunGrid(end=AS_OF, step=timedelta(days=1), runs=27)
+# Posts in a range of the store, so that the sample has many ranges.
+STORE_RANGE = 500
+PAGE_ROWS, PIECE_ROWS = 200, 500
 PERIOD = (datetime(2024, 1, 10), datetime(2024, 1, 20))
 
 
@@ -223,13 +229,23 @@ def _word_cooccur_report(spark, folder):
     return _rounded(report.word_cooccur_report(_posts(spark, folder), REPORT), "log_weight")
 
 
-def _cooccur_runs(spark, folder):
-    return backfill.word_cooccur_backfill(_posts(spark, folder), DAILY)
+def _stored_runs(spark, folder, name, grid, posts, after=None, until=None):
+    """Runs of a result table kept for this application; those not there yet are added first.
+
+    The table belongs to one state of the sample's files, so changed data are computed anew.
+    """
+    target = shared_folder(spark, f"results-{sample.version(spark, folder)}")
+    stored.add_missing_runs(spark, posts(spark, folder), target, [name], grid)
+    return read_result(spark, name, f"{target}/{name}", after, until)
+
+
+def _cooccur_runs(spark, folder, after=None):
+    return _stored_runs(spark, folder, "word_cooccur", DAILY, _posts, after)
 
 
 def _recent_interesting_pairs(spark, folder):
-    best = explore.recent_interesting_pairs(_cooccur_runs(spark, folder), AS_OF)
-    return _rounded(best, "log_weight")
+    recent = _cooccur_runs(spark, folder, after=AS_OF - timedelta(days=4))
+    return _rounded(explore.recent_interesting_pairs(recent, AS_OF), "log_weight")
 
 
 def _emerging_pairs(spark, folder):
@@ -237,12 +253,15 @@ def _emerging_pairs(spark, folder):
 
 
 def _popular_words_in_period(spark, folder):
-    runs = backfill.word_counts_backfill(_posts(spark, folder), FIVE_HOURS)
-    return _rounded(explore.popular_words_in_period(runs, *PERIOD), "percent")
+    start, end = PERIOD
+    before = start - timedelta(microseconds=1)
+    runs = _stored_runs(spark, folder, "word_counts", FIVE_HOURS, _posts, before, end)
+    return _rounded(explore.popular_words_in_period(runs, start, end), "percent")
 
 
 def _top_urls_recent(spark, folder):
-    runs = backfill.urls_backfill(sample.posts(spark, folder), FIVE_HOURS)
+    after = AS_OF - timedelta(days=4)
+    runs = _stored_runs(spark, folder, "urls", FIVE_HOURS, sample.posts, after)
     return explore.top_urls_recent(runs, AS_OF)
 
 
@@ -250,6 +269,33 @@ def _pair_trend(spark, folder):
     return explore.pair_trend(_cooccur_runs(spark, folder))
 
 
+def _word_cooccur_backfill(spark, folder):
+    return _rounded(backfill.word_cooccur_backfill(_posts(spark, folder), DAILY), "log_weight")
+
+
+def _pair_trend_on_grid(spark, folder):
+    return explore.pair_trend_on_grid(_cooccur_runs(spark, folder), DAILY)
+
+
+def _latest_page(spark, folder):
+    """The second page of the listing, asked for by the last row of the first."""
+    target = shared_folder(spark, f"timeline-{uuid.uuid4().hex}")
+    timeline.write_timeline(spark, sample.posts(spark, folder), target, PIECE_ROWS)
+    last = timeline.latest_page(spark, target, PAGE_ROWS).tail(1)
+    after = (last[0]["created_at"], last[0]["tid"]) if last else None
+    return _flat_urls(timeline.latest_page(spark, target, PAGE_ROWS, after))
+
+
+def _upsert_store(spark, folder):
+    """The feed put into a store clustered by id, which is made of the posts first."""
+    store = shared_folder(spark, f"store-{uuid.uuid4().hex}")
+    clustered.upsert_clustered(spark, store, sample.posts(spark, folder), STORE_RANGE)
+    incoming = normalize(sample.feed(spark, folder), "seq")
+    newest = upsert.newest_per_id(incoming, F.desc("seq"))
+    clustered.upsert_clustered(spark, store, newest, STORE_RANGE)
+    return _flat_urls(clustered.read_clustered(spark, store))
+
+
 def _word_counts_backfill(spark, folder):
     runs = backfill.word_counts_backfill(_posts(spark, folder), FIVE_HOURS)
     return _rounded(runs, "percent")
@@ -288,6 +334,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_urls_recent": _top_urls_recent,
         "pair_trend": _pair_trend,
         "word_counts_backfill": _word_counts_backfill,
+        "word_cooccur_backfill": _word_cooccur_backfill,
+        "upsert_store": _upsert_store,
+        "pair_trend_on_grid": _pair_trend_on_grid,
+        "latest_page": _latest_page,
         **_corpus_queries()[0],
     }
 
@@ -462,6 +512,12 @@ def oracle_sql() -> dict[str, str]:
     flat = "array_to_string(urls, ' ') AS urls"
     scores = "w1, w2, count, round(log_weight, 6) AS log_weight"
     ranked = "ORDER BY round(log_weight, 9) DESC, w1, w2"
+    upserted = f"""WITH {_FEED},
+        newest AS (SELECT * FROM feed
+                   QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq DESC) = 1)
+        SELECT tid, "user", text, created_at, {flat} FROM linked
+        WHERE tid NOT IN (SELECT id FROM newest)
+        UNION ALL SELECT id, "user", text, posted, {flat} FROM newest"""
     return {
         "scan_tweets": f'WITH {_LINKED} SELECT tid, "user", text, created_at, {flat} FROM linked',
         "filter_recent": f'WITH {_LINKED} SELECT tid, "user", text, created_at, {flat} '
@@ -473,12 +529,7 @@ def oracle_sql() -> dict[str, str]:
         f"{flat} FROM feed WHERE id > (SELECT max(tid) FROM tweets)",
         "normalize_raw": f'WITH {_FEED} SELECT id AS tid, "user", text, posted AS created_at, '
         f"{flat}, seq FROM feed",
-        "upsert_tweets": f"""WITH {_FEED},
-            newest AS (SELECT * FROM feed
-                       QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq DESC) = 1)
-            SELECT tid, "user", text, created_at, {flat} FROM linked
-            WHERE tid NOT IN (SELECT id FROM newest)
-            UNION ALL SELECT id, "user", text, posted, {flat} FROM newest""",
+        "upsert_tweets": upserted,
         "latest_tweets": f'WITH {_LINKED} SELECT tid, "user", text, created_at, {flat} '
         "FROM linked ORDER BY created_at DESC, tid",
         "tokenize": f"WITH {_WORDS} SELECT tid, token FROM tokens",
@@ -548,5 +599,18 @@ def oracle_sql() -> dict[str, str]:
             FROM cooccur""",
         "word_counts_backfill": f"WITH {_WORD_RUNS} "
         "SELECT word, round(percent, 9) AS percent, ts FROM word_counts",
+        "word_cooccur_backfill": f"WITH {_PAIR_RUNS} SELECT {scores}, ts FROM cooccur",
+        "upsert_store": upserted,
+        "pair_trend_on_grid": f"""WITH {_PAIR_RUNS},
+            numbered AS (SELECT ts, row_number() OVER (ORDER BY ts) - 1 AS run FROM grid)
+            SELECT w1, w2, ts, count,
+                   CASE WHEN lag(run) OVER p = run - 1 THEN lag(count) OVER p END AS previous,
+                   CASE WHEN lag(run) OVER p = run - 1 THEN count - lag(count) OVER p END AS change,
+                   lag(ts) OVER p AS last_ts, run - lag(run) OVER p - 1 AS missed,
+                   coalesce(lead(run) OVER p, {DAILY.runs}) - run - 1 AS next_missed
+            FROM cooccur JOIN numbered USING (ts)
+            WINDOW p AS (PARTITION BY w1, w2 ORDER BY run)""",
+        "latest_page": f'WITH {_LINKED} SELECT tid, "user", text, created_at, {flat} FROM linked '
+        f"ORDER BY created_at DESC NULLS LAST, tid LIMIT {PAGE_ROWS} OFFSET {PAGE_ROWS}",
         **_corpus_queries()[1],
     }

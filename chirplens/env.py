@@ -41,6 +41,12 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(folder)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A folder of this application below the one that all executors share."""
+    use_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}"
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Compute ``df`` now, keep it in the shared folder and cut its lineage.
 

@@ -11,6 +11,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from chirplens.config import RunGrid
 from chirplens.functions import scores, times
 
 
@@ -57,8 +58,8 @@ def top_urls_recent(urls: DataFrame, as_of: datetime, days: int = 4, k: int | No
 
 
 def pair_trend(cooccur: DataFrame) -> DataFrame:
-    """Count of each pair next to its count in the run before.  A pair has at most one row per
-    run, so a window group is no longer than the number of runs."""
+    """Count of each pair next to its count in the last run before in which it was ranked.  A pair
+    has at most one row per run, so a window group is no longer than the number of runs."""
     runs = Window.partitionBy("w1", "w2").orderBy("ts")
     before = F.lag("count").over(runs)
     return cooccur.select(
@@ -69,3 +70,38 @@ def pair_trend(cooccur: DataFrame) -> DataFrame:
         before.alias("previous"),
         (F.col("count") - before).alias("change"),
     )
+
+
+def pair_trend_on_grid(cooccur: DataFrame, grid: RunGrid) -> DataFrame:
+    """Count of each pair next to its count one run of the grid before, with gaps as such.
+
+    ``previous`` and ``change`` are NULL if the pair was not ranked in that run.  ``last_ts`` is
+    the last run before in which it was, and ``missed`` the runs in between; both are NULL where
+    a pair is ranked for the first time.  ``next_missed`` counts the runs behind it in which the
+    pair is not ranked, up to its next one or the end of the grid.
+    """
+    runs = Window.partitionBy("w1", "w2").orderBy("run")
+    numbered = cooccur.withColumn("run", times.first_run(F.col("ts"), grid))
+    placed = numbered.select(
+        "w1",
+        "w2",
+        "ts",
+        "count",
+        "run",
+        F.lag("run").over(runs).alias("last_run"),
+        F.lag("ts").over(runs).alias("last_ts"),
+        F.lag("count").over(runs).alias("last_count"),
+        F.coalesce(F.lead("run").over(runs), F.lit(grid.runs)).alias("next_run"),
+    )
+    previous = F.when(F.col("last_run") == F.col("run") - 1, F.col("last_count"))
+    return placed.select(
+        "w1",
+        "w2",
+        "ts",
+        "count",
+        previous.alias("previous"),
+        (F.col("count") - previous).alias("change"),
+        "last_ts",
+        (F.col("run") - F.col("last_run") - 1).alias("missed"),
+        (F.col("next_run") - F.col("run") - 1).alias("next_missed"),
+    )

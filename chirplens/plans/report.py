@@ -11,7 +11,7 @@ from chirplens.operators import urls, words
 from chirplens.operators.filters import filter_as_of, filter_recent, global_count
 from chirplens.operators.top_pairs import top_pairs_of_lists, top_pairs_per_run, word_lists
 from chirplens.operators.windows import as_one_run
-from chirplens.sources.tables import append_result
+from chirplens.sources.tables import commit_results
 from chirplens.streaming.ingest import read_store
 
 
@@ -41,7 +41,8 @@ def build_report(posts: DataFrame, cfg: ReportConfig) -> dict[str, DataFrame]:
 
 
 def run_report(posts: DataFrame, cfg: ReportConfig, target: str) -> None:
-    """Builds the three tables and puts each under ``target``; a run done again replaces itself.
+    """Builds the three tables and puts them under ``target``, visible all at once; a run done
+    again replaces itself.
 
     The same tables as ``build_report``; texts are read and cut into words once for both word
     tables.
@@ -59,8 +60,7 @@ def run_report(posts: DataFrame, cfg: ReportConfig, target: str) -> None:
             "urls": urls_report(posts, cfg),
             "word_cooccur": _pair_table(top_pairs_of_lists(lists, cfg.top_pairs), cfg),
         }
-        for name, frame in tables.items():
-            append_result(frame, name, f"{target}/{name}")
+        commit_results(tables, [cfg.as_of], target)
     finally:
         lists.unpersist()
 

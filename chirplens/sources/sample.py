@@ -15,6 +15,8 @@ Everything is lazy; table sizes enter as scalar subqueries.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,15 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def version(spark: SparkSession, folder: str) -> str:
+    """A name for the files that the posts come from as they are now; changes with any of them."""
+    paths = [f"{folder}/{name}.parquet" for name in ("documents", "events", "labels", "pages")]
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    # The files are listed, not read.
+    files = reader.load(paths).select("path", "modificationTime", "length").collect()
+    return hashlib.md5(str(sorted(map(tuple, files))).encode()).hexdigest()
+
+
 def _size(frame: DataFrame):
     return frame.agg(F.count("*").alias("n")).scalar()
 

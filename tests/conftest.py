@@ -13,6 +13,8 @@ from chirplens.schemas import TWEET  # noqa: E402
 def spark():
     session = local_session("8", partitions=4, memory="6g")
     session.sparkContext.setLogLevel("ERROR")
+    # Tests look for paths in plans, which are cut at 100 letters otherwise.
+    session.conf.set("spark.sql.maxMetadataStringLength", "2000")
     yield session
     session.stop()
 
