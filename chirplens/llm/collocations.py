@@ -42,6 +42,7 @@ _TABLE = bytes.maketrans(_ENDS, _MARK * len(_ENDS))
 # A task counts so many words or places of phrases before it hands on their counts.
 _HELD_WORDS = 300_000
 _HELD_PLACES = 3_000_000
+_HELD_PAIRS = 6_000_000
 # Bits of a filter for each frequent phrase, and most bits (32 MB).
 _BITS_PER_KEY = 16
 _MOST_BITS_LOG2 = 28
@@ -71,26 +72,28 @@ class _Hashes(dict):
 
     def __init__(self, seed: int):
         super().__init__({_MARK: 0})
-        self.seed = seed
+        self.prefix = f"{seed}:".encode()
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHED_WORDS:
             self.clear()
             self[_MARK] = 0
-        value = self[word] = word_hash(word, self.seed)
+        # As ``word_hash``, with the seed that Spark's function has.
+        value = self[word] = xxhash.xxh64_intdigest(self.prefix + word, 42) or 1
         return value
 
 
-def word_hash(word: bytes, seed: int) -> int:
-    return xxhash.xxh3_64_intdigest(word, seed) or 1
+def word_hash(word: Column, seed: int) -> Column:
+    value = F.xxhash64(F.concat(F.lit(f"{seed}:"), word))
+    return F.when(value == 0, F.lit(1).cast("long")).otherwise(value)
 
 
 def _lang_hash(lang: str) -> np.uint64:
     return np.uint64(xxhash.xxh3_64_intdigest(lang.encode("utf-8", "replace")))
 
 
-def _word_counts(docs: DataFrame, seed: int) -> DataFrame:
-    """``(lang, word, h, f)``: all words with their counts and hashes."""
+def _word_counts(docs: DataFrame) -> DataFrame:
+    """``(lang, word, f)``: all words with their counts."""
     held = _HELD_WORDS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,15 +102,13 @@ def _word_counts(docs: DataFrame, seed: int) -> DataFrame:
         def told() -> pa.RecordBatch:
             langs = [x for lang, own in counts.items() for x in [lang] * len(own)]
             words = [w for own in counts.values() for w in own]
-            hashes = np.fromiter((word_hash(w, seed) for w in words), np.uint64, len(words))
             columns = [
                 pa.array(langs, pa.string()),
                 pa.array(words, pa.binary()).cast(pa.string()),
-                pa.array(hashes.view(np.int64)),
                 pa.array([n for own in counts.values() for n in own.values()], pa.int64()),
             ]
             counts.clear()
-            return pa.RecordBatch.from_arrays(columns, names=["lang", "word", "h", "f"])
+            return pa.RecordBatch.from_arrays(columns, names=["lang", "word", "f"])
 
         for batch in batches:
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
@@ -121,18 +122,19 @@ def _word_counts(docs: DataFrame, seed: int) -> DataFrame:
         if counts:
             yield told()
 
-    found = docs.mapInArrow(run, "lang string, word string, h long, f long")
-    return found.groupBy("lang", "word", "h").agg(F.sum("f").alias("f"))
+    found = docs.mapInArrow(run, "lang string, word string, f long")
+    return found.groupBy("lang", "word").agg(F.sum("f").alias("f"))
 
 
 def _words(docs: DataFrame) -> tuple[DataFrame, int]:
-    """All words with counts, and the seed of their hashes.
+    """``(lang, word, f, h)`` of all words, and the seed of their hashes.
 
     Seeds are tried until no two words share a hash, so a hash is as good as the word.
     """
+    counts = checkpointed(_word_counts(docs))
     seed = 0
     while True:
-        words = checkpointed(_word_counts(docs, seed))
+        words = counts.withColumn("h", word_hash(F.col("word"), seed))
         twice = words.groupBy("h").agg(F.min("word").alias("a"), F.max("word").alias("b"))
         if twice.where("a <> b").isEmpty():
             return words, seed
@@ -143,12 +145,12 @@ def _words(docs: DataFrame) -> tuple[DataFrame, int]:
 
 
 def _phrase_keys(lang: np.ndarray, hashes: list[np.ndarray]) -> np.ndarray:
-    """One number per phrase for the filter."""
+    """One number of 48 bits per phrase for the filter; few phrases share one."""
     with np.errstate(over="ignore"):
         key = lang.copy()
         for h in hashes:
             key = mixed(key * _STEP + h)
-        return key
+        return key >> np.uint64(16)
 
 
 def _cells(keys: np.ndarray, log2: int) -> list[np.ndarray]:
@@ -157,19 +159,29 @@ def _cells(keys: np.ndarray, log2: int) -> list[np.ndarray]:
         return [mixed(keys) >> shift, mixed(keys ^ _SECOND) >> shift]
 
 
-def _filter(grams: DataFrame, n: int) -> Broadcast:
-    """The bits of the frequent phrases of ``n`` words, at most ``2 ** _MOST_BITS_LOG2``.
+def _word_keys(words: DataFrame) -> DataFrame:
+    """The filter's numbers of words, as ``key``."""
 
-    Bits are put together by number, so the driver gets one long for each 64 bits.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lang = np.array([_lang_hash(x) for x in batch["lang"].to_pylist()], np.uint64)
+            keys = _phrase_keys(lang, [batch["h"].to_numpy().view(np.uint64)])
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], names=["key"])
+
+    return words.select("lang", "h").mapInArrow(run, "key long")
+
+
+def _filter(keys: DataFrame) -> Broadcast:
+    """The bits of the frequent phrases with these numbers, at most ``2 ** _MOST_BITS_LOG2``.
+
+    Bits are put together by place, so the driver gets one long for each 64 bits.
     """
-    wanted = max(1, grams.count() * _BITS_PER_KEY - 1).bit_length()
+    wanted = max(1, keys.count() * _BITS_PER_KEY - 1).bit_length()
     log2 = min(_MOST_BITS_LOG2, max(_LEAST_BITS_LOG2, wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lang = np.array([_lang_hash(x) for x in batch["lang"].to_pylist()], np.uint64)
-            hashes = [batch[c].to_numpy().view(np.uint64) for c in _H[:n]]
-            cells = np.unique(np.concatenate(_cells(_phrase_keys(lang, hashes), log2)))
+            cells = np.unique(np.concatenate(_cells(batch["key"].to_numpy().view(np.uint64), log2)))
             at, start = np.unique(cells >> np.uint64(6), return_index=True)
             bits = np.uint64(1) << (cells & np.uint64(63))
             bits = np.bitwise_or.reduceat(bits, start) if len(cells) else bits
@@ -177,11 +189,11 @@ def _filter(grams: DataFrame, n: int) -> Broadcast:
                 [pa.array(at.view(np.int64)), pa.array(bits.view(np.int64))], names=["at", "bits"]
             )
 
-    told = grams.select("lang", *_H[:n]).mapInArrow(run, "at long, bits long")
+    told = keys.select("key").mapInArrow(run, "at long, bits long")
     table = told.groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
     bits = np.zeros(1 << (log2 - 6), np.uint64)
     bits[table["at"].to_numpy()] = table["bits"].to_numpy().view(np.uint64)
-    return grams.sparkSession.sparkContext.broadcast((bits, log2))
+    return keys.sparkSession.sparkContext.broadcast((bits, log2))
 
 
 def _holds(shared: tuple[np.ndarray, int], keys: np.ndarray) -> np.ndarray:
@@ -241,68 +253,86 @@ def _phrases(words: np.ndarray, lang: np.uint64, orders: tuple[int, ...], known:
         yield n, np.flatnonzero(whole)
 
 
-def _gram_counts(
-    docs: DataFrame, orders: tuple[int, ...], known: Broadcast, size: int, seed: int, least: int
-) -> DataFrame:
-    """``(lang, n, h1 .. h4, f)``: phrases of the given lengths found ``least`` times or more."""
+def _texts_held(batches: Iterator[pa.RecordBatch], seed: int, held: int) -> Iterator[tuple[str, np.ndarray]]:
+    """The hashes of the words of many texts of one language, about ``held`` at a time."""
+    cache = _Hashes(seed)
+    texts: dict[str, list[np.ndarray]] = {}
+    places = 0
+    for batch in batches:
+        for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
+            found = marked_words(text)
+            found.append(_MARK)
+            texts.setdefault(lang, []).append(np.fromiter(map(cache.__getitem__, found), np.uint64, len(found)))
+            places += len(found)
+            if places >= held:
+                for name in list(texts):
+                    yield name, np.concatenate(texts.pop(name))
+                places = 0
+    for name in list(texts):
+        yield name, np.concatenate(texts.pop(name))
+
+
+def _pair_keys(docs: DataFrame, known: Broadcast, seed: int, least: int) -> DataFrame:
+    """The filter's numbers of all phrases of two words found ``least`` times or more, as ``key``.
+
+    Phrases that share a number are counted together: a few numbers too many for the filter, none
+    too few, for half of what whole phrases would shuffle.
+    """
+    held = _HELD_PAIRS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, words in _texts_held(batches, seed, held):
+            code = _lang_hash(lang)
+            for _, starts in _phrases(words, code, (2,), known.value, 1):
+                keys = _phrase_keys(np.full(len(starts), code), [words[starts], words[starts + 1]])
+                keys, counts = np.unique(keys, return_counts=True)
+                for s in range(0, len(keys), 200_000):
+                    own = keys[s : s + 200_000].view(np.int64), counts[s : s + 200_000].astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in own], names=["key", "f"])
+
+    counts = docs.mapInArrow(run, "key long, f long").groupBy("key").agg(F.sum("f").alias("f"))
+    return checkpointed(counts.where(F.col("f") >= least).select("key"))
+
+
+def _gram_counts(docs: DataFrame, known: Broadcast, seed: int, least: int) -> DataFrame:
+    """``(lang, n, h1 .. h4, f)``: phrases of two words or more found ``least`` times or more."""
     held = _HELD_PLACES
     names = ["lang", "n", *_H, "f"]
+    orders = tuple(range(2, MOST_WORDS + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _Hashes(seed)
-        texts: dict[str, list[np.ndarray]] = {}
-        places = 0
-
-        def told(lang: str) -> Iterator[pa.RecordBatch]:
-            words = np.concatenate(texts.pop(lang))
-            for n, starts in _phrases(words, _lang_hash(lang), orders, known.value, size):
+        for lang, words in _texts_held(batches, seed, held):
+            for n, starts in _phrases(words, _lang_hash(lang), orders, known.value, 2):
                 at, counts = _counted(words, starts, n)
                 for s in range(0, len(at), 100_000):
                     own = at[s : s + 100_000]
-                    hashes = [words[own + k].view(np.int64) for k in range(n)]
                     columns = [
                         pa.array([lang] * len(own), pa.string()),
                         pa.array(np.full(len(own), n, np.int32)),
-                        *[pa.array(h) for h in hashes],
+                        *[pa.array(words[own + k].view(np.int64)) for k in range(n)],
                         *[pa.nulls(len(own), pa.int64())] * (MOST_WORDS - n),
                         pa.array(counts[s : s + 100_000].astype(np.int64)),
                     ]
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
-        for batch in batches:
-            for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                found = marked_words(text)
-                found.append(_MARK)
-                own = np.fromiter(map(cache.__getitem__, found), np.uint64, len(found))
-                texts.setdefault(lang, []).append(own)
-                places += len(own)
-                if places >= held:
-                    for name in list(texts):
-                        yield from told(name)
-                    places = 0
-        for name in list(texts):
-            yield from told(name)
-
     schema = f"lang string, n int, {', '.join(f'{h} long' for h in _H)}, f long"
     counts = docs.mapInArrow(run, schema).groupBy("lang", "n", *_H).agg(F.sum("f").alias("f"))
-    return counts.where(F.col("f") >= least)
+    return checkpointed(counts.where(F.col("f") >= least))
 
 
 def frequent_phrases(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     """All words as ``(lang, word, h, f)``, and the phrases of up to four words found at least
     ``least`` times in pieces of texts, as ``(lang, n, h1 .. h4, f)`` with hashes for words.
 
-    ``docs`` has ``lang, text`` without NULLs.
+    ``docs`` has ``lang, text`` without NULLs.  Texts are read three times: for the words, for
+    the numbers of frequent phrases of two words, and for the counts of phrases made of those.
     """
     words, seed = _words(docs)
+    often = words.where(F.col("f") >= least)
     none = [F.lit(None).cast("long").alias(h) for h in _H[1:]]
-    one = words.where(F.col("f") >= least)
-    one = one.select("lang", F.lit(1).alias("n"), F.col("h").alias("h1"), *none, "f")
-    known = _filter(one, 1)
-    two = checkpointed(_gram_counts(docs, (2,), known, 1, seed, least))
-    known = _filter(two, 2)
-    more = checkpointed(_gram_counts(docs, tuple(range(3, MOST_WORDS + 1)), known, 2, seed, least))
-    return words, one.unionByName(two).unionByName(more)
+    one = often.select("lang", F.lit(1).alias("n"), F.col("h").alias("h1"), *none, "f")
+    pairs = _pair_keys(docs, _filter(_word_keys(often)), seed, least)
+    return words, one.unionByName(_gram_counts(docs, _filter(pairs), seed, least))
 
 
 # --- streams -------------------------------------------------------------------------------
