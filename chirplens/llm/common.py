@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chirplens.env import checkpointed, use_checkpoint_dir
@@ -37,6 +37,11 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
+def as_text(column: str) -> Column:
+    """An id on its way through pandas, where numbers beside a NULL would turn into floats."""
+    return F.col(column).cast("string")
+
+
 def has_rows(frame: DataFrame) -> bool:
     return bool(frame.take(1))
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chirplens.llm.common import bound_batches
+from chirplens.llm.common import as_text, bound_batches
 
 # Edits allowed per letter of an item.
 ERROR_RATE = 0.05
@@ -152,7 +152,7 @@ def find_leaks(
     """
     schema = T.StructType(
         [
-            T.StructField(id_col, docs.schema[id_col].dataType),
+            T.StructField(id_col, T.StringType()),
             T.StructField("item_id", benchmark.schema[item_col].dataType),
             T.StructField("distance", T.IntegerType()),
             T.StructField("end", T.LongType()),
@@ -160,7 +160,7 @@ def find_leaks(
     )
     spark = docs.sparkSession
     bound_batches(spark)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(as_text(id_col).alias("id"), F.col(text_col).alias("text"))
     result = None
     for items in _blocks(benchmark, item_col, item_text_col):
         shared = spark.sparkContext.broadcast(items)
@@ -185,7 +185,7 @@ def find_leaks(
 
         part = rows.mapInPandas(run, schema)
         result = part if result is None else result.unionByName(part)
-    return result
+    return result.withColumn(id_col, F.col(id_col).cast(docs.schema[id_col].dataType))
 
 
 def _clean(text: Column, shared: Broadcast, rate: float) -> Column:

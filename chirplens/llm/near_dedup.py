@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chirplens.env import checkpointed
-from chirplens.llm.common import BROADCAST_BYTES, bound_batches, components, has_rows, join_ids, same
+from chirplens.llm.common import BROADCAST_BYTES, as_text, bound_batches, components, has_rows, join_ids, same
 from chirplens.llm.shingles import WordHashes, mixed, set_key, shingle_set
 
 # Bands of so many coordinates.  A pair of similarity 0.80 shares no band with probability
@@ -62,7 +62,7 @@ def _features(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int
     """``(id, n_shingles, hi, lo, bands)`` of every row, texts left behind."""
     schema = T.StructType(
         [
-            T.StructField("id", docs.schema[id_col].dataType),
+            T.StructField("id", T.StringType()),
             T.StructField("n_shingles", T.LongType()),
             T.StructField("hi", T.LongType()),
             T.StructField("lo", T.LongType()),
@@ -87,8 +87,9 @@ def _features(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int
             frame.insert(0, "id", batch["id"].to_numpy())
             yield frame
 
-    rows_in = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows_in.mapInPandas(run, schema)
+    rows_in = docs.select(as_text(id_col).alias("id"), F.col(text_col).alias("text"))
+    kind = docs.schema[id_col].dataType
+    return rows_in.mapInPandas(run, schema).withColumn("id", F.col("id").cast(kind))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, limit: int) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chirplens.env import checkpointed
-from chirplens.llm.common import bound_batches
+from chirplens.llm.common import as_text, bound_batches
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -387,7 +387,7 @@ def find_personal_data(docs: DataFrame, model: SemiCrf, id_col: str = "doc_id",
     """
     schema = T.StructType(
         [
-            T.StructField(id_col, docs.schema[id_col].dataType),
+            T.StructField(id_col, T.StringType()),
             *[T.StructField(f"n_{k}", T.LongType()) for k in KINDS],
             T.StructField("base_sha256", T.StringType()),
             T.StructField("spans", T.StringType()),
@@ -407,7 +407,9 @@ def find_personal_data(docs: DataFrame, model: SemiCrf, id_col: str = "doc_id",
             yield frame[names]
 
     bound_batches(docs.sparkSession)
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(run, schema)
+    rows = docs.select(as_text(id_col).alias("id"), F.col(text_col).alias("text"))
+    kind = docs.schema[id_col].dataType
+    return rows.mapInPandas(run, schema).withColumn(id_col, F.col(id_col).cast(kind))
 
 
 def masked(text: str | None, spans: list[Span]) -> str | None:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -13,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chirplens.llm.common import bound_batches
+from chirplens.llm.common import as_text, bound_batches
 
 # About so many bytes of unknown pre-tokens are merged together.
 BATCH_BYTES = 1 << 17
@@ -23,7 +22,6 @@ KNOWN_WORDS = 600_000
 _NONE = np.iinfo(np.int32).max
 
 
-@lru_cache(maxsize=2)
 def _vocabulary(path: str) -> dict:
     with open(path, encoding="utf-8") as file:
         return json.load(file)
@@ -202,7 +200,7 @@ def count_tokens(
     """
     schema = T.StructType(
         [
-            T.StructField(id_col, docs.schema[id_col].dataType),
+            T.StructField(id_col, T.StringType()),
             T.StructField("n_bytes", T.LongType()),
             T.StructField("n_tokens", T.LongType()),
         ]
@@ -216,8 +214,9 @@ def count_tokens(
 
     bound_batches(docs.sparkSession)
     rows = docs.select(
-        F.col(id_col).alias("id"),
+        as_text(id_col).alias("id"),
         F.col(text_col).alias("text"),
         F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"),
     )
-    return rows.mapInPandas(run, schema).withColumn("over_limit", F.col("n_tokens") > limit)
+    counted = rows.mapInPandas(run, schema).withColumn("over_limit", F.col("n_tokens") > limit)
+    return counted.withColumn(id_col, F.col(id_col).cast(docs.schema[id_col].dataType))

@@ -165,3 +165,42 @@ def test_near_duplicates(docs, none):
     assert ids.count(1) == 1 and 7 not in ids
     assert near_dedup.near_duplicates(none).count() == 0
     assert near_dedup.drop_near_duplicates(none).count() == 0
+
+
+BIG = [2**53 + 1, None, 2**53 + 3, 2**63 - 1, -(2**63), None, 2**53 + 5]
+
+
+@pytest.fixture(scope="module")
+def big(spark):
+    """Ids that a float does not hold, NULLs among them, in one batch."""
+    words = ["same words in two of the texts here", "mail a@b.de now", None, "", "x y z"]
+    rows = [(i, words[k % 5], "<p>text</p>", f"http://h/{k}") for k, i in enumerate(BIG)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, html string, url string")
+    return frame.coalesce(1)
+
+
+def test_ids_beside_nulls_stay_as_they_are(spark, big):
+    ids = sorted(BIG, key=str)
+
+    def same(frame, column="doc_id"):
+        assert dict(frame.dtypes)[column] == "bigint"
+        assert sorted((r[column] for r in frame.collect()), key=str) == ids
+
+    same(pii.find_personal_data(big, pii.fit_on(big)))
+    same(near_dedup.near_duplicates(big))
+    found = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(big.where("doc_id is not null")).collect()}
+    assert found == {i: i for i in BIG if i is not None}
+    same(html_text.extract_main_text(big.withColumnRenamed("doc_id", "page_id")), "page_id")
+    items = spark.createDataFrame(
+        [(2**53 + 1, "same words in two of the texts here"), (None, "no such words stand in any text at all")],
+        "item_id long, text string",
+    )
+    leaks = decontaminate.find_leaks(big, items)
+    assert {(r["doc_id"], r["item_id"]) for r in leaks.collect()} == {(2**53 + 1, 2**53 + 1), (None, 2**53 + 1)}
+
+
+def test_token_counts_keep_ids(big):
+    P = pytest.importorskip("public_tokenizers")
+    counted = token_counts.count_tokens(big, P.path("byte_bpe_50k.json"), P.PATTERN)
+    assert sorted((r["doc_id"] for r in counted.collect()), key=str) == sorted(BIG, key=str)
+    assert dict(counted.dtypes)["doc_id"] == "bigint"
