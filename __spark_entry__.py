@@ -23,7 +23,7 @@ from chirplens.env import shared_folder
 from chirplens.operators import filters, pairs, upsert, urls, words
 from chirplens.operators.top_pairs import top_pairs_per_run
 from chirplens.operators.windows import as_one_run
-from chirplens.plans import backfill, explore, report, stored
+from chirplens.plans import backfill, explore, panes, report, stored
 from chirplens.sources import clustered, sample, timeline
 from chirplens.sources.feed import normalize
 from chirplens.sources.tables import read_result
@@ -286,6 +286,22 @@ def _latest_page(spark, folder):
     return _flat_urls(timeline.latest_page(spark, target, PAGE_ROWS, after))
 
 
+def _pane_store(spark, folder):
+    """Pane counts kept for this application and this state of the sample's files."""
+    target = shared_folder(spark, f"panes-{sample.version(spark, folder)}")
+    panes.add_panes(spark, sample.posts(spark, folder), target, FIVE_HOURS)
+    return target
+
+
+def _word_counts_panes(spark, folder):
+    runs = panes.word_counts_from_panes(spark, _pane_store(spark, folder), FIVE_HOURS)
+    return _rounded(runs, "percent")
+
+
+def _urls_panes(spark, folder):
+    return panes.urls_from_panes(spark, _pane_store(spark, folder), FIVE_HOURS)
+
+
 def _upsert_store(spark, folder):
     """The feed put into a store clustered by id, which is made of the posts first."""
     store = shared_folder(spark, f"store-{uuid.uuid4().hex}")
@@ -335,6 +351,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pair_trend": _pair_trend,
         "word_counts_backfill": _word_counts_backfill,
         "word_cooccur_backfill": _word_cooccur_backfill,
+        "word_counts_panes": _word_counts_panes,
+        "urls_panes": _urls_panes,
         "upsert_store": _upsert_store,
         "pair_trend_on_grid": _pair_trend_on_grid,
         "latest_page": _latest_page,
@@ -600,6 +618,9 @@ def oracle_sql() -> dict[str, str]:
         "word_counts_backfill": f"WITH {_WORD_RUNS} "
         "SELECT word, round(percent, 9) AS percent, ts FROM word_counts",
         "word_cooccur_backfill": f"WITH {_PAIR_RUNS} SELECT {scores}, ts FROM cooccur",
+        "word_counts_panes": f"WITH {_WORD_RUNS} "
+        "SELECT word, round(percent, 9) AS percent, ts FROM word_counts",
+        "urls_panes": f"WITH {_URL_RUNS} SELECT url, count, ts FROM urls",
         "upsert_store": upserted,
         "pair_trend_on_grid": f"""WITH {_PAIR_RUNS},
             numbered AS (SELECT ts, row_number() OVER (ORDER BY ts) - 1 AS run FROM grid)

@@ -76,6 +76,13 @@ def stage(frame: DataFrame, target: str, name: str, commit: str, part: str) -> N
     frame.write.mode("overwrite").partitionBy(part).parquet(path)
 
 
+def staged_parts(spark: SparkSession, target: str, name: str, commit: str, part: str) -> list[str]:
+    """The partitions that a commit has written of a table; folders are listed, no rows read."""
+    path = f"{_table(target, name)}/{COMMIT}={commit}"
+    listed = T.StructType([T.StructField(part, T.StringType())])
+    return sorted(r[part] for r in spark.read.schema(listed).parquet(path).select(part).distinct().collect())
+
+
 def publish(spark: SparkSession, target: str, parts: Iterable[Part]) -> None:
     """Makes partitions visible, all at once.
 

@@ -1,0 +1,82 @@
+"""Reports from panes against counting every window again."""
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from chirplens.config import RunGrid
+from chirplens.plans import backfill, panes
+from tests.test_top_pairs import corpus
+
+END = datetime(2024, 5, 1, 12, 0, 0, 250000)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(21)
+    return [
+        (
+            i,
+            t,
+            END - timedelta(microseconds=rng.randint(0, 12 * 86400 * 10**6)) if i % 15 else None,
+            rng.choices(["http://A", "http://a", None, "b"], k=rng.randint(0, 3)) if i % 7 else None,
+        )
+        for i, t in enumerate(corpus(21, posts=150, vocabulary=30))
+    ]
+
+
+def grid(runs, step):
+    start = END - step * 9
+    return RunGrid(end=start + step * (runs - 1), step=step, runs=runs)
+
+
+# A step that divides the window, and one that does not.
+@pytest.mark.parametrize("hours", [24, 29])
+def test_runs_come_due_one_after_the_other(spark, make_posts, rows, tmp_path, hours):
+    posts, step = make_posts(rows), timedelta(hours=hours)
+    target = str(tmp_path / "panes")
+    for runs, added in ((4, 4), (4, 0), (5, 1), (10, 5)):
+        own = grid(runs, step)
+        # Posts after the last run have not been landed yet.
+        landed = posts.where(F.col("created_at").isNull() | (F.col("created_at") <= F.lit(own.end).cast("timestamp_ntz")))
+        assert panes.add_panes(spark, landed, target, own) == added
+    words = panes.word_counts_from_panes(spark, target, own, 12)
+    assert sorted(words.collect()) == sorted(backfill.word_counts_backfill(posts, own, 12).collect())
+    urls = panes.urls_from_panes(spark, target, own, 2)
+    assert sorted(urls.collect()) == sorted(backfill.urls_backfill(posts, own, 2).collect())
+    one = panes.word_counts_of_run(spark, target, own, 7, 12).collect()
+    ts = own.start + step * 7
+    assert sorted(one) == sorted(r for r in words.collect() if r.ts == ts) and len(one) == 12
+
+
+def test_a_pane_reads_no_old_posts(spark, make_posts, tmp_path):
+    posts = make_posts([(i, "some words", END - timedelta(hours=i), ["u"]) for i in range(200)])
+    path = str(tmp_path / "posts")
+    posts.write.parquet(path)
+    later = panes._pane_rows(spark.read.parquet(path), grid(10, timedelta(hours=5)), 8)
+    plan = later._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(created_at)" in plan and "GreaterThan(created_at" in plan
+    assert {r["first"] for r in later.select("first").distinct().collect()} == {9}
+
+
+def test_sliding_counts(spark):
+    rng = random.Random(1)
+    found = [(a, a + rng.randint(0, 9), rng.choice("xyz"), rng.randint(1, 5)) for a in (rng.randint(0, 14) for _ in range(60))]
+    frame = spark.createDataFrame(found, "first long, last long, key string, count long")
+    got = {(r.run, r.key): r["count"] for r in panes.sliding_counts(frame, 12).collect()}
+    want = {
+        (run, key): n
+        for run in range(12)
+        for key in "xyz"
+        if (n := sum(c for a, b, k, c in found if k == key and a <= run <= b))
+    }
+    assert got == want
+
+
+def test_no_posts(spark, make_posts, tmp_path):
+    target, own = str(tmp_path / "panes"), grid(3, timedelta(hours=5))
+    assert panes.add_panes(spark, make_posts([]), target, own) == 3
+    assert panes.add_panes(spark, make_posts([]), target, own) == 0
+    assert panes.word_counts_from_panes(spark, target, own).count() == 0
