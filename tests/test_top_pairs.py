@@ -171,6 +171,22 @@ def test_a_long_text_is_spread(spark, make_posts):
     assert counts.count() == n * (n - 1) // 2 + 1 and counts.where("count > 1").isEmpty()
 
 
+@pytest.mark.parametrize("part_pairs", [1, 7, 4_000_000])
+def test_pairs_in_arrays(make_posts, part_pairs):
+    """What is told of a second word is found out once a word; lists are cut anywhere."""
+    texts = [*corpus(10), "one two", "one", "", None]
+    posts = make_posts([(i, t, NOON, None) for i, t in enumerate(texts)])
+    got = pairs.partners(posts, part_pairs=part_pairs)
+    rows = [(r.tid, r.w1, w2) for r in got.collect() for w2 in r.seconds]
+    assert len(rows) == len(set(rows))
+    assert set(rows) == {tuple(r) for r in pairs.word_pairs(posts).collect()}
+    told = pairs.partners(posts, F.length, part_pairs).collect()
+    sums = {}
+    for tid, w1, w2 in rows:
+        sums[tid, w1] = sums.get((tid, w1), 0) + len(w2)
+    assert {(r.tid, r.w1): sum(r.seconds) for r in told} == sums
+
+
 @pytest.mark.parametrize("k", [3, 5000])
 def test_rank_in_parts(spark, k):
     """More rows per run than Spark's own limit reaches: parts are cut before they meet."""
