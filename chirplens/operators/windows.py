@@ -96,49 +96,56 @@ def most_frequent_per_run(
 
     Runs its jobs at once and returns a checkpointed frame of ``k`` rows per run.
     """
-    probe_keys = probe_keys or 16 * k
-    span = span_of(rows)
-    counts = rows.groupBy(*span, key).agg(F.count("*").alias("count")).persist()
+    counts = rows.groupBy(*span_of(rows), key).agg(F.count("*").alias("count")).persist()
     try:
-        totals = counts.groupBy(key).agg(F.sum("count").alias("overall"))
-        order = [F.desc("overall"), key]
-        # One key more than is taken: its count covers all keys left out.
-        probe = checkpointed(totals.orderBy(*order).limit(probe_keys + 1))
-        keys = probe.agg(
-            F.count("*").alias("n"),
-            F.min("overall").alias("left_out"),
-            F.sum(F.octet_length(key) + F.lit(64)).alias("bytes"),
-        ).first()
-        taken = probe.orderBy(*order).limit(probe_keys).select(key)
-        small = (keys["bytes"] or 0) <= BROADCAST_BYTES
-        taken = F.broadcast(taken) if small else taken.hint("merge")
-        found = checkpointed(_rank_counts(per_run(counts.join(taken, key)), key, k))
-        if keys["n"] <= probe_keys:
-            return found
-        kth = found.where(F.col("rank") == k).select("run", F.col("count").alias("floor"))
-        floors = (
-            per_run(counts.select(*span).distinct())
-            .select("run")
-            .distinct()
-            .join(F.broadcast(kth), "run", "left")
-            .na.fill(0, ["floor"])
-        )
-        lowest = floors.agg(F.min("floor")).first()[0]
-        if keys["left_out"] < lowest:
-            return found
-        # What a key needs is set by the runs that see its rows, not by the thinnest of all.
-        seen = counts.select(*span).distinct().withColumn("_run", F.explode(_runs(span)))
-        needs = seen.join(F.broadcast(floors.withColumnRenamed("run", "_run")), "_run")
-        needs = needs.groupBy(*span).agg(F.min("floor").alias("need"))
-        # A key has at most one row per span, so no key of this join is hot.
-        wanted = counts.join(totals.where(F.col("overall") >= lowest).hint("merge"), key)
-        wanted = wanted.join(needs, span).where("overall >= need").drop("need")
-        reach = per_run(wanted).join(F.broadcast(floors), "run").where("overall >= floor")
-        return checkpointed(_rank_counts(reach, key, k))
+        return most_frequent_of_counts(counts, key, k, probe_keys)
     finally:
         counts.unpersist()
 
 
+def most_frequent_of_counts(
+    counts: DataFrame, key: str, k: int, probe_keys: int | None = None
+) -> DataFrame:
+    """As ``most_frequent_per_run``, of counts per span, which are read several times."""
+    probe_keys = probe_keys or 16 * k
+    span = span_of(counts)
+    totals = counts.groupBy(key).agg(F.sum("count").alias("overall"))
+    order = [F.desc("overall"), key]
+    # One key more than is taken: its count covers all keys left out.
+    probe = checkpointed(totals.orderBy(*order).limit(probe_keys + 1))
+    keys = probe.agg(
+        F.count("*").alias("n"),
+        F.min("overall").alias("left_out"),
+        F.sum(F.octet_length(key) + F.lit(64)).alias("bytes"),
+    ).first()
+    taken = probe.orderBy(*order).limit(probe_keys).select(key)
+    small = (keys["bytes"] or 0) <= BROADCAST_BYTES
+    taken = F.broadcast(taken) if small else taken.hint("merge")
+    found = checkpointed(_rank_counts(per_run(counts.join(taken, key)), key, k))
+    if keys["n"] <= probe_keys:
+        return found
+    kth = found.where(F.col("rank") == k).select("run", F.col("count").alias("floor"))
+    floors = (
+        per_run(counts.select(*span).distinct())
+        .select("run")
+        .distinct()
+        .join(F.broadcast(kth), "run", "left")
+        .na.fill(0, ["floor"])
+    )
+    lowest = floors.agg(F.min("floor")).first()[0]
+    if keys["left_out"] < lowest:
+        return found
+    # What a key needs is set by the runs that see its rows, not by the thinnest of all.
+    seen = counts.select(*span).distinct().withColumn("_run", F.explode(_runs(span)))
+    needs = seen.join(F.broadcast(floors.withColumnRenamed("run", "_run")), "_run")
+    needs = needs.groupBy(*span).agg(F.min("floor").alias("need"))
+    # A key has at most one row per span, so no key of this join is hot.
+    wanted = counts.join(totals.where(F.col("overall") >= lowest).hint("merge"), key)
+    wanted = wanted.join(needs, span).where("overall >= need").drop("need")
+    reach = per_run(wanted).join(F.broadcast(floors), "run").where("overall >= floor")
+    return checkpointed(_rank_counts(reach, key, k))
+
+
 def _rank_counts(counts: DataFrame, key: str, k: int) -> DataFrame:
     merged = counts.groupBy("run", key).agg(F.sum("count").alias("count"))
     return top_per_run(merged, k, F.desc("count"), key)

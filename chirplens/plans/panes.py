@@ -3,7 +3,7 @@
 The windows of a grid of runs cut time into panes: posts that are seen by the same runs, the
 ``first`` to the ``last``.  The counts of a pane are made once, when the run that sees it first
 comes due, and kept.  A run is the sum of its panes, so no text is read again for the twenty runs
-that see it; over many runs, panes that enter are added and panes that leave are taken off.
+that see it; over many runs, only keys that can be listed are spread over the runs.
 
 A pane is final once it is stored.  A post that is landed after a run that should have seen it is
 in no pane; ``add_panes`` is to be run when the posts up to a run's time are there.
@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from chirplens.config import WORD_STOPS, RunGrid
 from chirplens.functions import scores, text, times
-from chirplens.operators.windows import SPAN, top_per_run, with_span
+from chirplens.operators.windows import SPAN, most_frequent_of_counts, with_span
 from chirplens.sources.commits import Part, new_commit, publish, read_parts, stage, staged_parts, visible
 
 PANE = "pane"
@@ -109,11 +109,27 @@ def sliding_counts(panes: DataFrame, runs: int) -> DataFrame:
     return kept.select(F.explode(F.sequence("run", "until")).alias("run"), "key", "count")
 
 
+def most_frequent_of_panes(
+    spark: SparkSession, target: str, name: str, runs: int, k: int, probe_keys: int | None = None
+) -> DataFrame:
+    """``(run, key, count, rank)``: the ``k`` most frequent keys of each of ``runs`` runs.
+
+    Only keys that can be among the first ``k`` of a run are spread over the runs; most keys are
+    in no list and stay one row per pane.
+    """
+    panes = _panes(spark, target, name, 0, runs - 1)
+    # A pane may be seen by runs behind the last one asked for.
+    panes = panes.withColumn("last", F.least("last", F.lit(runs - 1).cast("long"))).persist()
+    try:
+        return most_frequent_of_counts(panes, "key", k, probe_keys)
+    finally:
+        panes.unpersist()
+
+
 def word_counts_from_panes(spark: SparkSession, target: str, grid: RunGrid, k: int = 500) -> DataFrame:
     """The word table of all runs of ``grid`` from stored panes."""
-    counts = sliding_counts(_panes(spark, target, WORDS, 0, grid.runs - 1), grid.runs)
+    top = most_frequent_of_panes(spark, target, WORDS, grid.runs, k)
     totals = sliding_counts(_panes(spark, target, POSTS, 0, grid.runs - 1), grid.runs)
-    top = top_per_run(counts, k, F.desc("count"), "key")
     # One row per run.
     shares = top.join(F.broadcast(totals.select("run", F.col("count").alias("total"))), "run")
     share = scores.fraction(F.col("count"), F.col("total"))
@@ -123,8 +139,7 @@ def word_counts_from_panes(spark: SparkSession, target: str, grid: RunGrid, k: i
 
 def urls_from_panes(spark: SparkSession, target: str, grid: RunGrid, k: int = 300) -> DataFrame:
     """The URL table of all runs of ``grid`` from stored panes."""
-    counts = sliding_counts(_panes(spark, target, URLS, 0, grid.runs - 1), grid.runs)
-    top = top_per_run(counts, k, F.desc("count"), "key")
+    top = most_frequent_of_panes(spark, target, URLS, grid.runs, k)
     return top.select(F.col("key").alias("url"), "count", times.run_time(F.col("run"), grid).alias("ts"))
 
 

@@ -80,3 +80,19 @@ def test_no_posts(spark, make_posts, tmp_path):
     assert panes.add_panes(spark, make_posts([]), target, own) == 3
     assert panes.add_panes(spark, make_posts([]), target, own) == 0
     assert panes.word_counts_from_panes(spark, target, own).count() == 0
+
+
+@pytest.mark.parametrize("probe", [1, 3, 1000])
+def test_only_keys_that_can_rank_are_spread(spark, make_posts, rows, tmp_path, probe):
+    """With any number of probed keys the lists are those of all sliding counts."""
+    posts, own = make_posts(rows), grid(10, timedelta(hours=29))
+    target = str(tmp_path / "panes")
+    panes.add_panes(spark, posts, target, own)
+    for name, k in ((panes.WORDS, 12), (panes.WORDS, 2), (panes.URLS, 2)):
+        counts = {}
+        every = panes.sliding_counts(panes._panes(spark, target, name, 0, own.runs - 1), own.runs)
+        for r in every.collect():
+            counts.setdefault(r.run, []).append((-r["count"], r.key))
+        want = {(run, key, -n, i) for run, all_ in counts.items() for i, (n, key) in enumerate(sorted(all_)[:k], 1)}
+        got = panes.most_frequent_of_panes(spark, target, name, own.runs, k, probe).collect()
+        assert {(r.run, r.key, r["count"], r["rank"]) for r in got} == want and len(got) == len(want)
