@@ -2,9 +2,10 @@
 
 A page is read as lines, one per block.  Parts that markup names as navigation, advert, form and
 the like are left out at once.  Of what remains, lines that a page shares with the page next to
-it in address order, aligned by a longest common subsequence, are boilerplate of the site.  Lines
-inside an ``article`` or ``main`` element are content by the page's own word and stay, and so do
-all lines of a page that is a copy of its neighbour.
+it in address order, aligned by a longest common subsequence, are boilerplate of the site.  Every
+page is aligned.  Lines inside an ``article`` or ``main`` element are content by the page's own
+word and stay even if they are shared; all others stay if they are not shared.  A page without
+such an element that is a copy of its neighbour keeps all lines.
 """
 
 from __future__ import annotations
@@ -198,15 +199,22 @@ def _aligned(a: list[int], b: list[int]) -> list[int]:
     return found[::-1]
 
 
-def main_lines(lines: list[str], own: list[int], other: list[int] | None) -> list[str]:
-    """The lines without those shared with a neighbour, or all of them if the two are copies."""
+def main_lines(
+    lines: list[str], own: list[int], other: list[int] | None, content: list[bool] | None = None
+) -> list[str]:
+    """The lines without those shared with a neighbour, or all of them if the two are copies.
+
+    Lines marked as ``content`` stay in any case.  Where no neighbour can tell, they are all that
+    stays of a page that has some.
+    """
+    marks = content or [False] * len(lines)
     if other is None:
-        return lines
+        return [x for x, mark in zip(lines, marks, strict=True) if mark] or lines
     shared = set(shared_lines(own, other))
     size = sum(map(len, lines))
-    if sum(len(lines[i]) for i in shared) >= COPY_SHARE * size:
+    if not any(marks) and sum(len(lines[i]) for i in shared) >= COPY_SHARE * size:
         return lines
-    return [x for i, x in enumerate(lines) if i not in shared]
+    return [x for i, x in enumerate(lines) if marks[i] or i not in shared]
 
 
 def address(url: str | None) -> tuple[str, str]:
@@ -239,7 +247,7 @@ def extract_main_text(
     Pages are sorted by host and path within ranges of addresses, which split a host with very
     many pages; a page is compared with the one before it of the same host and range, the first
     with the one after it, one page in memory at a time.  A page alone in its host is not
-    compared.  Character references are decoded, white space in a block is one space, blocks are
+    compared: of its lines those in an ``article`` or ``main`` element count, or all.  Character references are decoded, white space in a block is one space, blocks are
     joined by one space.
 
     NULL and empty pages have an empty text; NULL URLs belong to the host without a name.
@@ -255,7 +263,7 @@ def extract_main_text(
             T.StructField("range", T.IntegerType()),
             T.StructField("host", T.StringType()),
             T.StructField("path", T.StringType()),
-            T.StructField("content", T.BooleanType()),
+            T.StructField("content", T.BinaryType()),
             T.StructField("lines", T.BinaryType()),
             T.StructField("hashes", T.BinaryType()),
         ]
@@ -267,12 +275,11 @@ def extract_main_text(
             for url, name, page in zip(batch["url"], batch["name"], batch["html"], strict=True):
                 host, path = address(url)
                 lines = page_lines(page)
-                marked = [t for inside, t in lines if inside]
+                marks = np.array([inside for inside, _ in lines], bool)
                 hashes = np.array([xxhash.xxh3_64_intdigest(t) for _, t in lines], np.uint64)
-                shown = marked or [t for _, t in lines]
-                packed = zlib.compress("\n".join(shown).encode("utf-8", "replace"), 1)
+                packed = zlib.compress("\n".join(t for _, t in lines).encode("utf-8", "replace"), 1)
                 place = bisect_right(starts, (host, path, url or "", name or ""))
-                out.append((url, place, host, path, bool(marked), packed, hashes.tobytes()))
+                out.append((url, place, host, path, marks.tobytes(), packed, hashes.tobytes()))
             frame = pd.DataFrame(out, columns=parsed.names[1:])
             frame.insert(0, "id", batch["id"].array)
             yield frame
@@ -291,12 +298,11 @@ def extract_main_text(
         out: list[tuple] = []
 
         def put(row, other) -> None:
-            lines = zlib.decompress(row.lines).decode("utf-8").split("\n")
-            if not row.content:
-                hashes = np.frombuffer(row.hashes, np.uint64).tolist()
-                near = None if other is None else np.frombuffer(other.hashes, np.uint64).tolist()
-                lines = main_lines(lines, hashes, near)
-            text = " ".join(lines)
+            marks = np.frombuffer(row.content, bool).tolist()
+            lines = zlib.decompress(row.lines).decode("utf-8").split("\n") if marks else []
+            hashes = np.frombuffer(row.hashes, np.uint64).tolist()
+            near = None if other is None else np.frombuffer(other.hashes, np.uint64).tolist()
+            text = " ".join(main_lines(lines, hashes, near, marks))
             out.append((row.id, row.url, text, len(text)))
 
         def told() -> pd.DataFrame:

@@ -522,6 +522,18 @@ def test_alignment(monkeypatch, bits):
         assert got == sorted(set(got)) and len(got) == lcs(a, b) and all(a[i] in rest for i in got)
 
 
+def test_differencing_decides_beside_an_article(spark):
+    """What stands outside of an article is kept if the neighbour does not have it."""
+    def page(own, story):
+        return f"<div>Our site</div><div>{own}</div><article><p>{story}<p>As ever</article><div>All rights</div>"
+
+    rows = [(i, f"http://a.org/{i}", page(f"Lead {i}", f"Story {i}")) for i in range(4)]
+    rows.append((9, "http://alone.org/", page("Lead 9", "Story 9")))
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract_main_text(frame).collect()}
+    assert got == {**{i: f"Lead {i} Story {i} As ever" for i in range(4)}, 9: "Story 9 As ever"}
+
+
 def test_page_lines():
     page = """<!DOCTYPE html><title>t</title><style>p{}</style><script>var a="</p>";</script><nav><ul><li>menu</ul></nav>
       <div class="top-banner">buy<div>now</div></div><!-- <p>no --><header>site</header><main><h1>Title</h1>
