@@ -43,6 +43,8 @@ _TABLE = bytes.maketrans(_ENDS, _MARK * len(_ENDS))
 _HELD_WORDS = 300_000
 _HELD_PLACES = 3_000_000
 _HELD_PAIRS = 6_000_000
+# Places whose numbers for the filter are made together.
+_SLICE = 1 << 18
 # Bits of a filter for each frequent phrase, and most bits (32 MB).
 _BITS_PER_KEY = 16
 _MOST_BITS_LOG2 = 28
@@ -207,29 +209,39 @@ def _holds(shared: tuple[np.ndarray, int], keys: np.ndarray) -> np.ndarray:
 # --- counting phrases ----------------------------------------------------------------------
 
 
-def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Equal values of a number each: a number per value, and one place of each number."""
-    _, first, number = np.unique(values, return_index=True, return_inverse=True)
-    return number.astype(np.uint64), first
+def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Equal keys get a number each: a place of each number, its count, and the number per key."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    begins = np.ones(len(keys), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=begins[1:])
+    del ordered
+    number = np.empty(len(keys), np.uint32)
+    number[order] = np.cumsum(begins, dtype=np.uint32) - np.uint32(1)
+    first = np.flatnonzero(begins)
+    return order[first], np.diff(first, append=len(keys)), number
 
 
-def _counted(words: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first place and the count of each different phrase of ``n`` words at ``starts``.
+class _Counted:
+    """Counts the phrases of a stretch of words, those of two words first.
 
-    Words get small numbers, phrases the numbers of their halves: no two phrases meet.
+    Words get small numbers, once, and so do phrases of two; a longer phrase is the numbers of
+    its parts, so no two phrases meet.  Numbers have half the size of hashes.
     """
-    number, _ = _runs(words)
-    shift = np.uint64(32)
-    keys = number[starts]
-    if n == 2:
-        keys = keys << shift | number[starts + 1]
-    elif n > 2:
-        last = number[starts + n - 2] << shift | number[starts + n - 1]
-        two, _ = _runs(np.concatenate([keys << shift | number[starts + 1], last]))
-        first, last = two[: len(starts)], two[len(starts) :]
-        keys = first << shift | (last if n == 4 else number[starts + 2])
-    _, at, counts = np.unique(keys, return_index=True, return_counts=True)
-    return starts[at], counts
+
+    def __init__(self, words: np.ndarray):
+        self.number = _grouped(words)[2]
+        self.two = np.zeros(len(words), np.uint32)
+
+    def counts(self, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """A place and the count of each different phrase of ``n`` words at ``starts``."""
+        keys = (self.number if n == 2 else self.two)[starts].astype(np.uint64)
+        keys <<= np.uint64(32)
+        keys |= self.two[starts + 2] if n == 4 else self.number[starts + n - 1]
+        at, counts, number = _grouped(keys)
+        if n == 2:
+            self.two[starts] = number
+        return starts[at], counts
 
 
 def _phrases(words: np.ndarray, lang: np.uint64, orders: tuple[int, ...], known: tuple, size: int):
@@ -241,8 +253,11 @@ def _phrases(words: np.ndarray, lang: np.uint64, orders: tuple[int, ...], known:
     good = np.ones(len(parts[0]), bool)
     for part in parts:
         good &= part != 0
-    at = np.flatnonzero(good)
-    good[at] = _holds(known, _phrase_keys(np.full(len(at), lang), [p[at] for p in parts]))
+    places = np.flatnonzero(good)
+    for s in range(0, len(places), _SLICE):
+        at = places[s : s + _SLICE]
+        good[at] = _holds(known, _phrase_keys(np.full(len(at), lang), [p[at] for p in parts]))
+    del places
     for n in orders:
         more = n - size
         if len(good) <= more:
@@ -284,8 +299,15 @@ def _pair_keys(docs: DataFrame, known: Broadcast, seed: int, least: int) -> Data
         for lang, words in _texts_held(batches, seed, held):
             code = _lang_hash(lang)
             for _, starts in _phrases(words, code, (2,), known.value, 1):
-                keys = _phrase_keys(np.full(len(starts), code), [words[starts], words[starts + 1]])
-                keys, counts = np.unique(keys, return_counts=True)
+                keys = np.empty(len(starts), np.uint64)
+                for s in range(0, len(starts), _SLICE):
+                    at = starts[s : s + _SLICE]
+                    keys[s : s + _SLICE] = _phrase_keys(np.full(len(at), code), [words[at], words[at + 1]])
+                del starts
+                keys.sort()
+                begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+                counts = np.diff(begins, append=len(keys))
+                keys = keys[begins]
                 for s in range(0, len(keys), 200_000):
                     own = keys[s : s + 200_000].view(np.int64), counts[s : s + 200_000].astype(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in own], names=["key", "f"])
@@ -302,8 +324,9 @@ def _gram_counts(docs: DataFrame, known: Broadcast, seed: int, least: int) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, words in _texts_held(batches, seed, held):
+            counted = _Counted(words)
             for n, starts in _phrases(words, _lang_hash(lang), orders, known.value, 2):
-                at, counts = _counted(words, starts, n)
+                at, counts = counted.counts(starts, n)
                 for s in range(0, len(at), 100_000):
                     own = at[s : s + 100_000]
                     columns = [

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -126,3 +127,27 @@ def test_ranges_pass_on_what_they_know():
                     break
                 best = max(best, int(c) if k == d + 1 else 0)
             assert after[i][d - 1] == best
+
+
+def test_counting_holds_little(monkeypatch):
+    """Counts are right, and the memory beside a stretch of words is under 100 bytes a word."""
+    rng = np.random.default_rng(3)
+    words = rng.integers(1, 2**63, 50_000).astype(np.uint64)[rng.integers(0, 300, 400_000) ** 2 % 50_000]
+    words[::19] = 0
+    known = np.full(1 << 10, 2**64 - 1, np.uint64), 16
+    tracemalloc.start()
+    try:
+        counted = module._Counted(words)
+        found = {}
+        for n, starts in module._phrases(words, np.uint64(9), (2, 3, 4), known, 2):
+            at, counts = counted.counts(starts, n)
+            found[n] = at, counts
+        held = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert held < 100 * len(words)
+    plain = words.tolist()
+    for n, (at, counts) in found.items():
+        got = {tuple(plain[a : a + n]): c for a, c in zip(at.tolist(), counts.tolist(), strict=True)}
+        want = Counter(tuple(plain[i : i + n]) for i in range(len(plain) - n + 1) if 0 not in plain[i : i + n])
+        assert got == want and len(got) == len(at)
