@@ -122,7 +122,8 @@ def upsert_clustered(
     place = F.when(F.col("tid").isNull(), range_name(0))
     if lows:
         place = place.otherwise(F.get(F.array(*[F.lit(n) for n in names]), range_of(F.col("tid"), lows)))
-    placed = checkpointed(incoming.withColumn(RANGE, place))
+    # Texts are kept once, above; a place is found again where it is read.
+    placed = incoming.withColumn(RANGE, place)
     sizes = {r[RANGE]: r["count"] for r in placed.groupBy(RANGE).count().collect()}
 
     stored = {p.part: p for p in now}

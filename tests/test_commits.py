@@ -11,6 +11,7 @@ from chirplens.config import ReportConfig, RunGrid
 from chirplens.operators import upsert
 from chirplens.plans import backfill, explore, report, stored
 from chirplens.schemas import RESULT_TABLES, TWEET
+from chirplens.env import checkpointed
 from chirplens.sources import clustered, commits, tables
 from chirplens.sources.clustered import ranges, read_clustered, replaced, upsert_clustered
 from chirplens.sources.tables import commit_results, read_result
@@ -247,3 +248,16 @@ def test_the_store_is_the_upsert(spark, make_posts, tmp_path):
     upsert_clustered(spark, store, old, 7)
     upsert_clustered(spark, store, new, 7)
     assert sorted(read_clustered(spark, store).collect()) == sorted(upsert.upsert(old, new).collect())
+
+
+def test_an_upsert_keeps_its_rows_once(spark, make_posts, tmp_path, monkeypatch):
+    """Incoming texts are written to the shared folder once, not again with their ranges."""
+    kept = []
+    monkeypatch.setattr(clustered, "checkpointed", lambda frame: kept.append(frame.columns) or checkpointed(frame))
+    store = str(tmp_path / "store")
+    for part in (range(0, 40), range(30, 60)):
+        posts = make_posts([(i, f"text {i} of {part.start}", None, None) for i in part])
+        clustered.upsert_clustered(spark, store, posts, 8)
+    assert len(kept) == 2
+    got = {r.tid: r.text for r in clustered.read_clustered(spark, store).collect()}
+    assert got == {i: f"text {i} of {30 if i >= 30 else 0}" for i in range(60)}
