@@ -199,3 +199,35 @@ def test_rank_in_parts(spark, k):
     assert found == {(run, i, x[1]) for run, all_ in want.items() for i, x in enumerate(sorted(all_)[:k], 1)}
     text = got._jdf.queryExecution().executedPlan().toString()
     assert text.count("row_number") >= 2
+
+
+@pytest.mark.parametrize("pass_pairs, passes", [(5, 3), (40, 64), (2_000_000, 64)])
+def test_pairs_in_blocks_and_passes(make_posts, monkeypatch, pass_pairs, passes):
+    """However the pairs are cut, counts are the same, and pairs are not shuffled to get their
+    words even if the dictionary is too large to broadcast."""
+    monkeypatch.setattr(pairs, "PASS_PAIRS", pass_pairs)
+    monkeypatch.setattr(pairs, "MOST_PASSES", passes)
+    monkeypatch.setattr(pairs, "BLOCKS", 3)
+    texts = [*corpus(11), "yourwho one two", "one", "", None]
+    posts = make_posts([(i, t, NOON, None) for i, t in enumerate([*texts, *texts[:9]])])
+    texts += texts[:9]
+    counts = pairs.pair_counts(posts, 0)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+    rows = counts.collect()
+    assert {(r.w1, r.w2): r["count"] for r in rows} == brute.pair_counts(texts)
+    assert len(rows) == len(brute.pair_counts(texts))
+    share = words.word_percent(words.word_doc_freq(posts), filters.global_count(posts))
+    scored = pairs.scored_pairs(posts, share, 0).collect()
+    want = brute.scored_pairs(texts)
+    assert {(r.w1, r.w2): (r["count"], round(r.log_weight, 9)) for r in scored} == {
+        p: (c, round(s, 9)) for p, (c, s) in want.items()
+    }
+
+
+def test_blocks_do_not_grow_with_the_pairs():
+    """What is shuffled is the lists once for each block."""
+    cuts = [pairs._cut_of(n, 3_000_000, 12) for n in (10**9, 8 * 10**9)]
+    assert max(blocks for blocks, _ in cuts) <= pairs.BLOCKS
+    for n, (blocks, passes) in zip((10**9, 8 * 10**9), cuts):
+        assert n / (blocks * (blocks + 1) / 2 * passes) <= pairs.PASS_PAIRS
