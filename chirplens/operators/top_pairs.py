@@ -85,7 +85,11 @@ def _search(lists: DataFrame, k: int, probe_words: int, broadcast_bytes: int) ->
     )
     taken = probe.where(F.col("rank") <= probe_words)
     small = text_and_row_bytes(taken, ["word"]) <= broadcast_bytes
-    counted = _probe_counts(lists, taken) if small else _wanted_counts(lists, taken, small)
+    chosen = checkpointed(_taken_per_span(lists, taken)) if small else None
+    if small and text_and_row_bytes(chosen, ["word"]) <= broadcast_bytes:
+        counted = _probe_counts(lists, chosen)
+    else:
+        counted = _wanted_counts(lists, taken, small)
     found = checkpointed(_rank(counted, taken, k, small))
 
     floors = checkpointed(_floors(probe, found, probe_words, k))
@@ -122,17 +126,41 @@ def _bounded_words(lists: DataFrame) -> DataFrame:
     )
 
 
-def _probe_counts(lists: DataFrame, taken: DataFrame) -> DataFrame:
+def _taken_per_span(lists: DataFrame, taken: DataFrame) -> DataFrame:
+    """``(*span, word)``: the words taken in any run of a span."""
+    span = span_of(lists)
+    if span == ["run"]:
+        return taken.select("run", "word")
+    spans = lists.select(*span).distinct().select("*", F.explode(F.sequence(*span)).alias("run"))
+    return spans.join(F.broadcast(taken.select("run", "word")), "run").drop("run").distinct()
+
+
+def _probe_counts(lists: DataFrame, chosen: DataFrame) -> DataFrame:
     """Pairs among the taken words.
 
-    The few taken words of a run are matched against a post's list in place, so no post is
-    shuffled, and what is shuffled are pairs of taken words, combined first.
+    The few words taken in the runs of a span are matched against a post's list in place, so no
+    post is shuffled.  The pairs of a post are formed once, as 64-bit keys of their words, and
+    counted per span; only counts are spread over the runs.  Pairs of words that are not both
+    taken in a run are left to the ranking, which drops them.
     """
-    chosen = taken.groupBy("run").agg(F.collect_set("word").alias("chosen"))
-    kept = per_run(lists).join(F.broadcast(chosen), "run")
-    return _pairs_per_run(
-        kept.select("run", "copies", F.array_intersect("words", "chosen").alias("words"))
-    )
+    span = span_of(lists)
+    seed, words = 0, chosen.select("word").distinct()
+    while True:
+        # No two words share a key.
+        keyed = checkpointed(words.select("word", F.xxhash64("word", F.lit(seed)).alias("key")))
+        if keyed.groupBy("key").count().where("count > 1").isEmpty():
+            break
+        seed += 1
+    of_span = chosen.groupBy(*span).agg(F.collect_set("word").alias("chosen"))
+    kept = F.sort_array(F.array_intersect("words", "chosen"))
+    keys = F.transform(kept, lambda w: F.xxhash64(w, F.lit(seed))).alias("words")
+    few = lists.join(F.broadcast(of_span), span).select(F.struct(*span).alias("span"), "copies", keys)
+    pairs = explode_pairs(few, "span", "copies").select("span.*", "w1", "w2", "copies")
+    counts = count_per_run(pairs, ["w1", "w2"], "copies")
+    for w in ("w1", "w2"):
+        named = keyed.select(F.col("key").alias(w), F.col("word").alias("word_" + w))
+        counts = counts.join(F.broadcast(named), w).drop(w)
+    return counts.select("run", F.col("word_w1").alias("w1"), F.col("word_w2").alias("w2"), "count")
 
 
 def _wanted_counts(lists: DataFrame, wanted: DataFrame, fits: bool) -> DataFrame:

@@ -231,3 +231,21 @@ def test_blocks_do_not_grow_with_the_pairs():
     assert max(blocks for blocks, _ in cuts) <= pairs.BLOCKS
     for n, (blocks, passes) in zip((10**9, 8 * 10**9), cuts):
         assert n / (blocks * (blocks + 1) / 2 * passes) <= pairs.PASS_PAIRS
+
+
+def test_probe_pairs_are_formed_once_a_post(make_posts, monkeypatch):
+    """A post in the windows of several runs forms its pairs once, not once for each run."""
+    texts = [f"{t} only{chr(97 + i % 26)}{chr(97 + i // 26)}" for i, t in enumerate(corpus(12))]
+    posts = make_posts([(i, t, NOON - timedelta(hours=i % 9), None) for i, t in enumerate(texts)])
+    grid = RunGrid(end=NOON + timedelta(hours=5), step=timedelta(hours=1), runs=6)
+    formed = []
+
+    def explode(lists, *keep, **options):
+        formed.append(lists.count())
+        return pairs.explode_pairs(lists, *keep, **options)
+
+    monkeypatch.setattr("chirplens.operators.top_pairs.explode_pairs", explode)
+    got = top_pairs_per_run(with_span(posts, grid), 5, 2000)
+    assert len(formed) == 1 and formed[0] <= len(texts)
+    for run in range(grid.runs):
+        assert found(got.where(F.col("run") == run)) == brute.top_pairs(texts, 5)
