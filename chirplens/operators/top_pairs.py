@@ -20,7 +20,7 @@ from chirplens.env import checkpointed
 from chirplens.functions import scores, text
 from chirplens.operators.lookup import BROADCAST_BYTES, lookup, text_and_row_bytes
 from chirplens.operators.pairs import explode_pairs
-from chirplens.operators.windows import count_per_run, per_run, span_of, top_per_run
+from chirplens.operators.windows import SPAN, count_per_run, per_run, span_of, top_per_run
 
 # Words a first search takes per run.  A frame of at most this many words per run is broadcast,
 # if its measured size allows (there may be many runs); it does not grow with the posts.
@@ -155,6 +155,9 @@ def _probe_counts(lists: DataFrame, chosen: DataFrame) -> DataFrame:
     kept = F.sort_array(F.array_intersect("words", "chosen"))
     keys = F.transform(kept, lambda w: F.xxhash64(w, F.lit(seed))).alias("words")
     few = lists.join(F.broadcast(of_span), span).select(F.struct(*span).alias("span"), "copies", keys)
+    few = few.where(F.size("words") > 1)
+    if span == SPAN:
+        few = _by_span(few)
     pairs = explode_pairs(few, "span", "copies").select("span.*", "w1", "w2", "copies")
     counts = count_per_run(pairs, ["w1", "w2"], "copies")
     for w in ("w1", "w2"):
@@ -163,6 +166,16 @@ def _probe_counts(lists: DataFrame, chosen: DataFrame) -> DataFrame:
     return counts.select("run", F.col("word_w1").alias("w1"), F.col("word_w2").alias("w2"), "count")
 
 
+def _by_span(lists: DataFrame) -> DataFrame:
+    """Lists dealt out in the order of their spans, those of a large span over several tasks.
+
+    A task then counts the pairs of few spans; with some lists of every span in every task, pairs
+    would be counted, and sent on, once for each span and task.
+    """
+    parts = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return lists.repartitionByRange(parts, "span", F.xxhash64("words"))
+
+
 def _wanted_counts(lists: DataFrame, wanted: DataFrame, fits: bool) -> DataFrame:
     """Pairs among any number of wanted words: word rows are looked up and put back into lists
     again."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from chirplens.config import RunGrid
 from chirplens.operators import filters, pairs, words
 from chirplens.operators.lookup import lookup
-from chirplens.operators.top_pairs import top_pairs_per_run
+from chirplens.operators.top_pairs import _by_span, top_pairs_per_run
 from chirplens.operators.windows import as_one_run, top_per_run, with_span
 from tests import brute
 
@@ -249,3 +249,13 @@ def test_probe_pairs_are_formed_once_a_post(make_posts, monkeypatch):
     assert len(formed) == 1 and formed[0] <= len(texts)
     for run in range(grid.runs):
         assert found(got.where(F.col("run") == run)) == brute.top_pairs(texts, 5)
+
+
+def test_a_task_counts_the_pairs_of_few_spans(spark):
+    """Lists of 20 spans stand in 8 tasks in the order of the spans, however large one of them is."""
+    rows = [((s, s + 3), [s * 100 + i, 7], 1) for s in range(20) for i in range(400 if s == 4 else 30)]
+    lists = spark.createDataFrame(rows, "span struct<first: long, last: long>, words array<long>, copies long")
+    dealt = _by_span(lists.repartition(8)).withColumn("task", F.spark_partition_id())
+    sizes = [r["count"] for r in dealt.groupBy("task").count().collect()]
+    assert dealt.select("task", "span").distinct().count() <= 20 + len(sizes)
+    assert sum(sizes) == len(rows) and max(sizes) < 400
