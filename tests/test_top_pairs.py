@@ -259,3 +259,16 @@ def test_a_task_counts_the_pairs_of_few_spans(spark):
     sizes = [r["count"] for r in dealt.groupBy("task").count().collect()]
     assert dealt.select("task", "span").distinct().count() <= 20 + len(sizes)
     assert sum(sizes) == len(rows) and max(sizes) < 400
+
+
+@pytest.mark.parametrize("least", [1, 2, 32])
+def test_counts_are_told_once_a_word(make_posts, monkeypatch, least):
+    """What is told of a second word and a count, whether found out beforehand or not."""
+    monkeypatch.setattr(pairs, "TOLD_COUNTS", least)
+    monkeypatch.setattr(pairs, "PASS_PAIRS", 50)
+    texts = corpus(13)
+    posts = make_posts([(i, t, NOON, None) for i, t in enumerate(texts)])
+    got = pairs.pair_counts(posts, told=lambda word, n: F.concat_ws(":", word, n.cast("string"))).collect()
+    assert {(r.w1, r.w2): r["count"] for r in got} == brute.pair_counts(texts)
+    assert max(r["count"] for r in got) > 2
+    assert all(r.told == f"{r.w2}:{r['count']}" for r in got)
